@@ -42,7 +42,9 @@ def rows_of(columns, rows):
 
 
 def compare(con, df, sql) -> list[str]:
+    began = time.time()
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
+    took = time.time() - began
     cursor = con.execute(sql)
     names = [d[0] for d in cursor.description]
     kinds = {d[0]: str(d[1]) for d in cursor.description}
@@ -62,6 +64,7 @@ def compare(con, df, sql) -> list[str]:
                         f"only Spark ({len(extra)}): {sorted(extra, key=repr)[:3]}")
     if not got:
         problems.append("no rows")
+    print(f"     collect {took:.2f}s", end=" ")
     return problems
 
 
@@ -76,6 +79,7 @@ def main() -> int:
         began = time.time()
         try:
             df = run(spark, sf)
+            print(f"     build {time.time() - began:.2f}s", end=" ")
             if name in oracles:
                 problems = compare(con, df, oracles[name])
             else:

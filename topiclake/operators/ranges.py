@@ -32,9 +32,10 @@ def open_checkpoints(log: DataFrame) -> DataFrame:
 
 
 def file_ranges(listing: DataFrame) -> DataFrame:
-    """Offset ranges read back from file names; files of other names are not ranges."""
+    """Offset ranges read back from file names; unfinished files and other names are not ranges."""
     name = F.element_at(F.split("path", "/"), -1)
-    parts = listing.withColumn("name", name).filter(F.rlike("name", F.lit(C.FILE_NAME)))
+    finished = listing.filter(~F.contains("path", F.lit("/_tmp/"))).withColumn("name", name)
+    parts = finished.filter(F.rlike("name", F.lit(C.FILE_NAME)))
     return parts.select(
         "path",
         F.regexp_extract("name", C.FILE_NAME, 1).alias("node_id"),

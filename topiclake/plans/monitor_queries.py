@@ -145,9 +145,9 @@ def top_lag(spark, sf):
 
 # --- series ----------------------------------------------------------------------------------------
 
-SERIES = """WITH raw AS (SELECT 'pod-' || user_id AS k, CAST(ts AS TIMESTAMP) AS at, event_id AS counter, value / 100.0 AS ratio FROM events),
-c AS (SELECT k, date_trunc('second', at) AS at, arg_max(counter, at) AS counter FROM raw GROUP BY k, date_trunc('second', at)),
-u AS (SELECT k, date_trunc('second', at) AS at, arg_max(ratio, at) AS ratio FROM raw GROUP BY k, date_trunc('second', at))"""
+SERIES = """WITH raw AS (SELECT 'pod-' || user_id AS k, CAST(ts AS TIMESTAMP) AS t, event_id AS counter, value / 100.0 AS ratio FROM events),
+c AS (SELECT k, date_trunc('second', t) AS t, arg_max(counter, t) AS counter FROM raw GROUP BY k, date_trunc('second', t)),
+u AS (SELECT k, date_trunc('second', t) AS t, arg_max(ratio, t) AS ratio FROM raw GROUP BY k, date_trunc('second', t))"""
 
 
 def _series(spark, sf, value):
@@ -162,16 +162,16 @@ def _ms(df):
 
 
 @query("records_per_sec", SERIES + """
-SELECT k, epoch_us(at) // 1000 AS at_ms, counter, round(coalesce(greatest(0.0, (counter - lag(counter) OVER w) / ((epoch_us(at) - epoch_us(lag(at) OVER w)) / 1e6)), 0.0), 9) AS rate
-FROM c WINDOW w AS (PARTITION BY k ORDER BY at)""")
+SELECT k, epoch_us(t) // 1000 AS at_ms, counter, round(coalesce(greatest(0.0, (counter - lag(counter) OVER w) / ((epoch_us(t) - epoch_us(lag(t) OVER w)) / 1e6)), 0.0), 9) AS rate
+FROM c WINDOW w AS (PARTITION BY k ORDER BY t)""")
 def records_per_sec(spark, sf):
     rates = monitor.records_per_sec(_series(spark, sf, "counter"), "k", "at", "counter")
     return _ms(rates.withColumn("rate", F.round("rate", 9)))
 
 
 @query("hysteresis_flag", SERIES + """
-SELECT k, epoch_us(at) // 1000 AS at_ms, ratio, coalesce(last_value(CASE WHEN ratio >= 0.9 THEN true WHEN ratio < 0.8 THEN false END IGNORE NULLS)
- OVER (PARTITION BY k ORDER BY at ROWS UNBOUNDED PRECEDING), false) AS throttled, ratio >= 1.0 AS critical FROM u""")
+SELECT k, epoch_us(t) // 1000 AS at_ms, ratio, coalesce(last_value(CASE WHEN ratio >= 0.9 THEN true WHEN ratio < 0.8 THEN false END IGNORE NULLS)
+ OVER (PARTITION BY k ORDER BY t ROWS UNBOUNDED PRECEDING), false) AS throttled, ratio >= 1.0 AS critical FROM u""")
 def hysteresis_flag(spark, sf):
     return _ms(monitor.throttle_flag(_series(spark, sf, "ratio"), "k", "at", "ratio"))
 
@@ -180,9 +180,9 @@ HOLD_SEC = 21600
 
 
 @query("alert_hold", SERIES + f"""
-, m AS (SELECT *, ratio > 0.3 AS breach, sum(CASE WHEN ratio > 0.3 THEN 0 ELSE 1 END) OVER (PARTITION BY k ORDER BY at ROWS UNBOUNDED PRECEDING) AS island FROM u),
-s AS (SELECT *, CASE WHEN breach THEN min(CASE WHEN breach THEN at END) OVER (PARTITION BY k, island) END AS since FROM m)
-SELECT k, epoch_us(at) // 1000 AS at_ms, breach, epoch_us(since) // 1000 AS since_ms, coalesce(epoch_us(at) - epoch_us(since) >= {HOLD_SEC} * 1000000, false) AS firing FROM s""")
+, m AS (SELECT *, ratio > 0.3 AS breach, sum(CASE WHEN ratio > 0.3 THEN 0 ELSE 1 END) OVER (PARTITION BY k ORDER BY t ROWS UNBOUNDED PRECEDING) AS island FROM u),
+s AS (SELECT *, CASE WHEN breach THEN min(CASE WHEN breach THEN t END) OVER (PARTITION BY k, island) END AS since FROM m)
+SELECT k, epoch_us(t) // 1000 AS at_ms, breach, epoch_us(since) // 1000 AS since_ms, coalesce(epoch_us(t) - epoch_us(since) >= {HOLD_SEC} * CAST(1000000 AS BIGINT), false) AS firing FROM s""")
 def alert_hold(spark, sf):
     held = monitor.alert_hold(_series(spark, sf, "ratio"), "k", "at", F.col("ratio") > 0.3, HOLD_SEC)
     return _ms(held.select("k", "at", "breach", F.unix_millis("breach_since").alias("since_ms"), "firing"))
@@ -192,9 +192,9 @@ WINDOW_SEC = 86400
 
 
 @query("alert_increase", SERIES + f"""
-, w AS (SELECT k, at, counter, max(counter) OVER f - min(counter) OVER f AS increase FROM c
- WINDOW f AS (PARTITION BY k ORDER BY at RANGE BETWEEN INTERVAL '{WINDOW_SEC}' SECOND PRECEDING AND CURRENT ROW))
-SELECT k, epoch_us(at) // 1000 AS at_ms, counter, increase, increase > 200 AS firing FROM w""")
+, w AS (SELECT k, t, counter, max(counter) OVER f - min(counter) OVER f AS increase FROM c
+ WINDOW f AS (PARTITION BY k ORDER BY t RANGE BETWEEN INTERVAL '{WINDOW_SEC}' SECOND PRECEDING AND CURRENT ROW))
+SELECT k, epoch_us(t) // 1000 AS at_ms, counter, increase, increase > 200 AS firing FROM w""")
 def alert_increase(spark, sf):
     samples = _series(spark, sf, "counter")
     return _ms(monitor.alert_increase(samples, "k", "at", "counter", WINDOW_SEC, 200))

@@ -69,8 +69,9 @@ def _events(dialect: str, faulty: bool) -> str:
 
 
 def _orders() -> str:
+    at = "TIMESTAMP '2024-01-01 00:00:00' + o_orderkey * INTERVAL '13' SECOND"
     return f"""SELECT 'orders' AS topic, CAST(o_orderkey % 4 AS INTEGER) AS part,
- {_big("floor(o_orderkey / 4)")} AS off, CAST(o_orderdate AS TIMESTAMP) AS ts,
+ {_big("floor(o_orderkey / 4)")} AS off, {at} AS ts,
  '{{"order_id":' || {_text("o_orderkey")} || ',"user_id":' || {_text("o_custkey")} || ',"amount":'
  || {_text("o_totalprice")} || ',"status":"' || o_orderstatus || '","created_time":"'
  || {_text("CAST(o_orderdate AS DATE)")} || '"}}' AS value FROM orders"""
@@ -264,21 +265,18 @@ def with_clause(*names: str, dialect: str = "duckdb", recursive: bool = False) -
     return head + ",\n".join(f"{n} AS ({recipe(n, dialect)})" for n in order)
 
 
-def tables(spark: SparkSession, sf_dir: str) -> None:
-    """Register the warehouse tables of `sf_dir` as views; times are read as UTC."""
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A warehouse table; its times are read as UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    for name in TABLES:
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    tables(spark, sf_dir)
-    return spark.sql(with_clause(name, dialect="spark") + f"\nSELECT * FROM {name}")
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    sql = with_clause(name, dialect="spark") + f"\nSELECT * FROM {name}"
+    for used in TABLES:
+        if f"FROM {used}" in sql:
+            table(spark, sf_dir, used).createOrReplaceTempView(used)
+    return spark.sql(sql)
 
 
 def envelope(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -143,7 +143,8 @@ good AS (SELECT * FROM patterns WHERE topic_name NOT LIKE '(%' OR topic_name LIK
 pairs AS (
  SELECT topic, id, 0 AS k FROM distinct_topics JOIN {configs} ON topic = topic_name AND match_type = 'EXACT'
  UNION ALL
- SELECT topic, id, 1 AS k FROM distinct_topics JOIN {configs} ON match_type = 'REGEX' AND regexp_full_match(topic, topic_name)),
+ SELECT topic, id, 1 AS k FROM distinct_topics JOIN {configs} ON match_type = 'REGEX'
+  AND left(topic, 6) = CASE WHEN topic_name LIKE '(%' THEN left(topic, 6) ELSE left(topic_name, 6) END AND regexp_full_match(topic, topic_name)),
 best AS (SELECT topic, id FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY k, id) AS n FROM pairs) WHERE n = 1)"""
 
 

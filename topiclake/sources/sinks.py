@@ -54,7 +54,8 @@ def write_csv(df: DataFrame, path: str, codec: str = "NONE", *, mode: str = "app
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read what `write_csv` wrote; `lineSep` is left out so that quoted line breaks stay in their field."""
     options = {k: v for k, v in CSV_OPTIONS.items() if k != "lineSep"}
-    return spark.read.schema(schema).options(**options, multiLine="true").csv(path)
+    # A null was written as nothing, an empty text as "": a null mark no field holds keeps them apart.
+    return spark.read.schema(schema).options(**options, nullValue="\u0000", multiLine="true").csv(path)
 
 
 def write_format(df: DataFrame, path: str, sink_format: str, codec: str, **kwargs) -> None:
@@ -153,6 +154,9 @@ def fan_out(routed: DataFrame, configs: DataFrame, root: str, *, mode: str = "ap
         out = good.select("row.*", *kept, *[v.alias(k) for k, v in directories.items()])
         by = [c.strip() for c in (group["partition_by"] or "").split(",") if c.strip() in out.columns]
         partition_by = tuple(dict.fromkeys([*directories, *by, *kept]))
+        # Gather each directory in few tasks, or every task would leave a file in every directory; AQE
+        # splits the directories that hold much and merges those that hold little.
+        out = out.hint("rebalance", *partition_by) if partition_by else out
         write_format(out, f"{root.rstrip('/')}{layout.root}" if "://" not in layout.root else layout.root,
                      group["sink_format"], group["compression"], mode=mode, partition_by=partition_by)
         bad = parsed.filter("reason IS NOT NULL").select("topic", "partition", "offset", "timestamp", "reason", "value")

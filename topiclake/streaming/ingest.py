@@ -87,12 +87,17 @@ class IngestJob:
         self._write(config_diff(previous, configs), "config_changes", batch)
 
     def _without_replays(self, spark: SparkSession, records: DataFrame, batch: str) -> DataFrame:
-        """Leave out the (topic, partition) ranges another batch has written already."""
+        """Leave out the (topic, partition) ranges another batch has written already.
+
+        Only ranges in which every offset was seen count as written: a file source may interleave the
+        offsets of several batches, and a record that was never written must not be taken for a replay.
+        """
         stored = table_or_none(spark, f"{self.root}/manifest")
         if stored is None:
             return records
         spans = records.groupBy(*KEYS).agg(F.min("offset").alias("start_offset"), F.max("offset").alias("end_offset"))
-        others = stored.filter(F.col("batch") != batch).withColumn("recorded_at", F.col("created_at"))
+        dense = F.col("distinct_offsets") == F.col("end_offset") - F.col("start_offset") + 1
+        others = stored.filter((F.col("batch") != batch) & dense).withColumn("recorded_at", F.col("created_at"))
         covered = ranges.already_written(spans, others).filter("covered").select(*KEYS)
         return records.join(broadcast_if_small(covered), KEYS, "left_anti")
 
@@ -118,10 +123,13 @@ class IngestJob:
             if rejected is not None:
                 self._write(rejected, "quarantine", batch)
             self._write(
-                records.groupBy(*KEYS).agg(
+                records.groupBy(*KEYS, "offset").agg(
+                    F.count(F.lit(1)).alias("n"), F.sum(payload_bytes(F.col("value"))).alias("size"),
+                    F.min("timestamp").alias("at"),
+                ).groupBy(*KEYS).agg(
                     F.min("offset").alias("start_offset"), F.max("offset").alias("end_offset"),
-                    F.count(F.lit(1)).alias("record_count"), F.sum(payload_bytes(F.col("value"))).alias("bytes"),
-                    F.min_by("timestamp", "offset").alias("first_ts"),
+                    F.sum("n").alias("record_count"), F.count(F.lit(1)).alias("distinct_offsets"),
+                    F.sum("size").alias("bytes"), F.min_by("at", "offset").alias("first_ts"),
                 ).withColumn("created_at", F.current_timestamp()),
                 "manifest", batch)
             self._metrics(spark, records, batch)
