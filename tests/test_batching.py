@@ -59,7 +59,6 @@ def test_greedy_batches(spark, monkeypatch, block, fan_in):
              r["closed"]))
     want = {k: [(i, *b) for i, b in enumerate(brute(rows, *limits))] for k, rows in data.items()}
     assert {k: sorted(v) for k, v in got.items()} == want
-    return want
 
 
 def test_assign_and_pending(spark):

@@ -495,7 +495,7 @@ def _landed(spark: SparkSession, root: str) -> DataFrame:
 def fanout_sink(spark, sf):
     root = scratch_path(spark, "fanout")
     configs = derived(spark, sf, "sample_configs")
-    sinks.fan_out(_routed(spark, sf, "mixed_env"), configs, root)
+    sinks.fan_out(_routed(spark, sf, "mixed_env"), configs, root, root + "/quarantine")
     return _landed(spark, root)
 
 

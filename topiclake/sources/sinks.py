@@ -10,19 +10,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from topiclake import constants as C
-from topiclake.functions.paths import sanitize
-from topiclake.functions.schema import parse_schema
-from topiclake.operators.parse import check_required, parse_json, valid_rows
-from topiclake.session import scratch_path
+from topiclake.functions.paths import escapes_root, local_time, sanitize, sanitize_present
+from topiclake.functions.schema import Field, parse_schema
+from topiclake.operators.parse import ROW, check_required, parse_json, valid_rows
+from topiclake.session import broadcast_if_small, scratch_path
 
 CSV_OPTIONS = {
     "header": "true",
     "escape": '"',
-    "lineSep": "\r\n",
+    "lineSep": "\n",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "encoding": "UTF-8",
 }
+ENVELOPE_COLUMNS = ["topic", "partition", "offset", "timestamp", "value"]
 MAX_PATH_WRITES = 64
 STAGE_ABOVE = 2
 
@@ -43,19 +44,27 @@ def write_parquet(df: DataFrame, path: str, codec: str = "SNAPPY", *, mode: str
 
 
 def write_csv(df: DataFrame, path: str, codec: str = "NONE", *, mode: str = "append",
-              partition_by: tuple[str, ...] = (), max_records: int = 0) -> None:
+              partition_by: tuple[str, ...] = (), max_records: int = 0, line_sep: str = "\n") -> None:
+    """CSV with a header, doubled quotes and empty nulls.
+
+    With the line separator CRLF Spark's writer also turns line breaks inside fields into CRLF, so
+    the default that keeps every field exact is LF; pass `line_sep` where a consumer insists on CRLF.
+    """
     if codec.upper() not in C.CSV_CODECS:
         raise ValueError(f"codec {codec} is not one of {C.CSV_CODECS} for CSV")
+    data = [c for c in df.columns if c not in partition_by]
+    if len(data) == 1:  # a null alone would be a blank line, which CSV readers skip
+        df = df.withColumn(data[0], F.coalesce(F.col(data[0]).cast("string"), F.lit("")))
     writer = df.write.mode(mode).options(**CSV_OPTIONS).options(
-        compression=codec.lower(), maxRecordsPerFile=str(max_records), partitionOverwriteMode="dynamic")
+        lineSep=line_sep, compression=codec.lower(), maxRecordsPerFile=str(max_records),
+        partitionOverwriteMode="dynamic")
     writer.partitionBy(*partition_by).csv(path) if partition_by else writer.csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read what `write_csv` wrote; `lineSep` is left out so that quoted line breaks stay in their field."""
-    options = {k: v for k, v in CSV_OPTIONS.items() if k != "lineSep"}
+    """Read what `write_csv` wrote, with line breaks inside quoted fields."""
     # A null was written as nothing, an empty text as "": a null mark no field holds keeps them apart.
-    return spark.read.schema(schema).options(**options, nullValue="\u0000", multiLine="true").csv(path)
+    return spark.read.schema(schema).options(**CSV_OPTIONS, nullValue="\u0000", multiLine="true").csv(path)
 
 
 def write_format(df: DataFrame, path: str, sink_format: str, codec: str, **kwargs) -> None:
@@ -82,17 +91,20 @@ class Layout:
 
 def layout_of(template: str) -> Layout:
     """Split a template at its first variable; a bare `{date}` directory becomes column `date`."""
+    absolute = "://" in template
+    parts = template.rstrip("/").split("/") if absolute else template.strip("/").split("/")
     root, directories = [], []
-    for part in template.strip("/").split("/") if "://" not in template else template.rstrip("/").split("/"):
+    for part in parts:
         variables = re.findall(r"\{(\w+)\}", part)
         if not variables and not directories:
             root.append(part)
             continue
         named = re.match(r"^(\w+)=", part)
-        name = named.group(1) if named else "_".join(variables) or f"part{len(directories)}"
-        directories.append((name, part))
+        name = named.group(1) if named else "_".join(variables) or "part"
+        used = [n for n, _ in directories]
+        directories.append((name if name not in used else f"{name}{len(used)}", part))
     prefix = "/".join(root)
-    return Layout(prefix if "://" in template else "/" + prefix, tuple(directories))
+    return Layout(prefix if absolute else "/" + prefix, tuple(directories))
 
 
 def sink_groups(configs: DataFrame) -> list[dict]:
@@ -105,63 +117,81 @@ def sink_groups(configs: DataFrame) -> list[dict]:
     return [r.asDict() for r in grouped.orderBy(F.col("ids")[0]).collect()]
 
 
-def _directory(pattern: str, name: str) -> Column:
-    text = F.lit(pattern[len(name) + 1:] if pattern.startswith(f"{name}=") else pattern)
-    wall = F.col("timestamp").cast("timestamp_ntz")
-    values = {
-        "topic": sanitize(F.col("topic")), "date": F.date_format(wall, "yyyy-MM-dd"),
-        "dt": F.date_format(wall, "yyyy-MM-dd"), "hour": F.date_format(wall, "HH"),
-        "minute": F.date_format(wall, "mm"), "partition": F.col("partition").cast("string"),
-    }
-    for variable, value in values.items():
-        text = F.replace(text, F.lit("{" + variable + "}"), value)
-    return text
+def _directories(layout: Layout, names: set[str], tz: str | None, as_of: Column | None) -> dict[str, Column]:
+    """Directory columns of the parsed rows; `dt`, `hour` and `minute` prefer the message's own fields."""
+    when = F.col("timestamp")
+    if as_of is not None:
+        when = F.when(when > F.timestamp_seconds(F.lit(0)), when).otherwise(as_of)
+    wall = local_time(when, tz)
+    values = {"topic": sanitize(F.col("topic")), "date": F.date_format(wall, "yyyy-MM-dd"),
+              "partition": F.col("partition").cast("string")}
+    for name, pattern in (("dt", "yyyy-MM-dd"), ("hour", "HH"), ("minute", "mm")):
+        own = [sanitize_present(F.col(ROW)[name].cast("string"))] if name in names else []
+        values[name] = F.coalesce(*own, F.date_format(wall, pattern))
+    columns = {}
+    for name, pattern in layout.directories:
+        text = F.lit(pattern.removeprefix(f"{name}="))
+        for variable, value in values.items():
+            text = F.replace(text, F.lit("{" + variable + "}"), value)
+        replaces = pattern == f"{name}={{{name}}}"
+        columns[name if replaces or name not in names else f"_{name}"] = text
+    return columns
+
+
+def _staged(routed: DataFrame, groups: list[dict]) -> list[DataFrame]:
+    """The records of each group. Beyond a few groups they are written once, partitioned by group, so
+    that the source is scanned once however many groups there are."""
+    if len(groups) <= STAGE_ABOVE:
+        return [routed.filter(F.col("config_id").isin(g["ids"])) for g in groups]
+    spark = routed.sparkSession
+    numbers = spark.createDataFrame([(i, n) for n, g in enumerate(groups) for i in g["ids"]],
+                                    "config_id bigint, __setting int")
+    path = scratch_path(spark, "routed")
+    placed = routed.join(broadcast_if_small(numbers), "config_id")
+    placed.hint("rebalance", "__setting").write.partitionBy("__setting").parquet(path)
+    return [spark.read.parquet(path).filter(F.col("__setting") == n).drop("__setting") for n in range(len(groups))]
 
 
-def fan_out(routed: DataFrame, configs: DataFrame, root: str, *, mode: str = "append",
-            extra_partition: tuple[str, ...] = (), staged: bool = False) -> DataFrame:
+def fan_out(routed: DataFrame, configs: DataFrame, root: str, quarantine: str, *, mode: str = "append",
+            extra_partition: tuple[str, ...] = (), staged: bool = False, tz: str | None = None,
+            as_of: Column | None = None) -> None:
     """Write every routed record below `root` by its configuration's schema, format, codec and template.
 
     Directories below the static part of a template are Hive style (`date=2026-03-22`), so one write
-    covers all dates of a configuration and readers prune on them. With several settings the routed
-    records are first written once, partitioned by setting, so the source is scanned once however many
-    settings there are; `staged` says the caller already holds the records in a cheap form.
-
-    Returns the rejected records (unparseable or without a required field).
+    covers all dates of a configuration and readers prune on them. Records that are no JSON object,
+    lack a required field or resolve to a path with `..` go to the `quarantine` table instead.
+    `staged` says the caller already holds the records in a cheap form.
     """
-    spark = routed.sparkSession
     groups = sink_groups(configs)
-    records, column = routed, F.col("config_id")
-    if len(groups) > STAGE_ABOVE and not staged:
-        setting = F.lit(-1)
-        for n, group in enumerate(groups):
-            setting = F.when(F.col("config_id").isin(group["ids"]), n).otherwise(setting)
-        path = scratch_path(spark, "routed")
-        routed.withColumn("__setting", setting).write.partitionBy("__setting").parquet(path)
-        records, column = spark.read.parquet(path), None
-    rejected = None
-    for n, group in enumerate(groups):
-        mine = records.filter(F.col("__setting") == n) if column is None else records.filter(column.isin(group["ids"]))
+    parts = [routed.filter(F.col("config_id").isin(g["ids"])) for g in groups] if staged else _staged(routed, groups)
+    for n, (group, mine) in enumerate(zip(groups, parts)):
         fields = parse_schema(group["schema_json"])
-        parsed = check_required(parse_json(mine, fields), fields)
+        names = {f.name for f in fields}
         layout = layout_of(group["sink_path"])
-        taken = {f.name for f in fields}
-        directories = {}
-        for name, pattern in layout.directories:
-            directories[name if name not in taken else f"_{name}"] = _directory(pattern, name)
-        good = valid_rows(parsed)
-        kept = [c for c in extra_partition if c not in taken]
-        out = good.select("row.*", *kept, *[v.alias(k) for k, v in directories.items()])
-        by = [c.strip() for c in (group["partition_by"] or "").split(",") if c.strip() in out.columns]
+        directories = _directories(layout, names, tz, as_of)
+        unsafe = escapes_root(F.concat_ws("/", *directories.values())) if directories else F.lit(False)
+
+        def checked(columns: list[Field]) -> DataFrame:
+            parsed = check_required(parse_json(mine, columns), fields)
+            return parsed.withColumn("reason", F.coalesce("reason", F.when(unsafe, "resolved path contains '..'")))
+
+        good = valid_rows(checked(fields))
+        kept = [c for c in extra_partition if c not in names]
+        row = [F.col(ROW)[f.name].alias(f.name) for f in fields if f.name not in directories]
+        out = good.select(*row, *kept, *[v.alias(k) for k, v in directories.items()])
+        by = [c.strip() for c in (group["partition_by"] or "").split(",") if c.strip() in names]
         partition_by = tuple(dict.fromkeys([*directories, *by, *kept]))
         # Gather each directory in few tasks, or every task would leave a file in every directory; AQE
         # splits the directories that hold much and merges those that hold little.
         out = out.hint("rebalance", *partition_by) if partition_by else out
-        write_format(out, f"{root.rstrip('/')}{layout.root}" if "://" not in layout.root else layout.root,
-                     group["sink_format"], group["compression"], mode=mode, partition_by=partition_by)
-        bad = parsed.filter("reason IS NOT NULL").select("topic", "partition", "offset", "timestamp", "reason", "value")
-        rejected = bad if rejected is None else rejected.unionByName(bad)
-    return rejected
+        target = layout.root if "://" in layout.root else root.rstrip("/") + layout.root
+        write_format(out, target, group["sink_format"], group["compression"], mode=mode, partition_by=partition_by)
+
+        # The rejected rows need only the fields their reasons depend on.
+        needed = [f for f in fields if not f.nullable or f.name in ("dt", "hour", "minute")]
+        bad = checked(needed).filter("reason IS NOT NULL").select(
+            *ENVELOPE_COLUMNS, "reason", "config_id", *kept, F.lit(n).alias("setting"))
+        write_parquet(bad, quarantine, mode=mode, partition_by=(*kept, "setting"))
 
 
 def write_exact_paths(rows: DataFrame, root: str, sink_format: str, codec: str, mode: str = "append") -> bool:

@@ -42,7 +42,12 @@ def with_ingest_metrics(stream: DataFrame, name: str = "ingest") -> DataFrame:
 
 
 def drop_replays(stream: DataFrame, delay: str) -> DataFrame:
-    """Keep one record per (topic, partition, offset) among those at most `delay` late."""
+    """Keep one record per (topic, partition, offset).
+
+    The state is bounded by the watermark, so Spark leaves out records more than `delay` behind the
+    newest one. Ingestion itself uses no watermark and keeps late records; apply this only where the
+    delay is known, and `ranges.dedup_offsets` otherwise.
+    """
     return stream.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark([*KEYS, "offset"])
 
 
@@ -118,10 +123,8 @@ class IngestJob:
                     F.max("offset").alias("end_offset")),
                 "unmatched", batch)
             routed = routing.route(records, matched).withColumn("batch", F.lit(batch))
-            rejected = fan_out(routed, configs, f"{self.root}/data", mode="overwrite",
-                               extra_partition=("batch",), staged=True)
-            if rejected is not None:
-                self._write(rejected, "quarantine", batch)
+            fan_out(routed, configs, f"{self.root}/data", f"{self.root}/quarantine", mode="overwrite",
+                    extra_partition=("batch",), staged=True)
             self._write(
                 records.groupBy(*KEYS, "offset").agg(
                     F.count(F.lit(1)).alias("n"), F.sum(payload_bytes(F.col("value"))).alias("size"),
