@@ -47,5 +47,5 @@ def test_lag_and_pending(spark):
     lag = monitor.partition_lag(records, commits)
     assert {r["topic"]: r["lag"] for r in lag.collect()} == {"t": 3, "u": 1}
     assert [tuple(r) for r in monitor.top_lag(lag, 1).collect()] == [("t", 3)]
-    pending = {r["topic"]: (r["pending_bytes"], r["total_bytes"]) for r in monitor.pending_bytes(records, commits, 90).collect()}
-    assert pending == {"t": (6, 9), "u": (3, 9)}
+    pending = {r["topic"]: (r["pending_bytes"], r["usage_ratio"]) for r in monitor.pending_bytes(records, commits, 60).collect()}
+    assert pending == {"t": (6, 0.1), "u": (3, 0.05), None: (9, 0.15)}

@@ -89,6 +89,20 @@ def test_interleaved_files_are_not_taken_for_replays(spark, tmp_path):
     assert landed(spark, tmp_path) == list(range(60))
 
 
+def test_route_by_flush_keeps_a_batch_together(spark, tmp_path):
+    config(spark, str(tmp_path / "configs"))
+    feed(spark, str(tmp_path / "in"), 0, 100)
+    flush = IngestJob(lambda s: s.read.parquet(str(tmp_path / "configs")), str(tmp_path / "out"), route="flush",
+                      tz="Asia/Shanghai")
+    flush.run_available(spark, str(tmp_path / "in"))
+    days = spark.read.parquet(str(tmp_path / "out/data/t")).groupBy("topic").agg(F.count_distinct("date").alias("n"))
+    assert {r["topic"]: r["n"] for r in days.collect()} == {"t_0": 1, "t_1": 1}
+    other = IngestJob(lambda s: s.read.parquet(str(tmp_path / "configs")), str(tmp_path / "byrecord"))
+    other.run_available(spark, str(tmp_path / "in"))
+    rows = spark.read.parquet(str(tmp_path / "byrecord/data/t"))
+    assert rows.select("date").distinct().count() == 3 and rows.count() == 100
+
+
 def test_stream_dedup(spark, tmp_path):
     feed(spark, str(tmp_path / "in"), 0, 10)
     feed(spark, str(tmp_path / "in"), 0, 10)

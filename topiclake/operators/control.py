@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from topiclake import constants as C
 from topiclake.operators.routing import compiles
 from topiclake.operators.running import Running, offset_block, running
+from topiclake.session import written_table
 
 MUTABLE = ["schema_json", "sink_path", "sink_format", "compression", "flush_rows", "flush_bytes",
            "flush_interval_sec", "partition_by", "description"]
@@ -168,24 +169,28 @@ def change_states(snapshot: DataFrame, changes: DataFrame) -> DataFrame:
     alive = F.when(birth, 1).when(action == "DELETE", 0)
     seen = running(feed, key, order, block, [Running("alive", "last", alive, inclusive=False)])
     exists = F.coalesce(F.col("alive"), F.lit(0)) == 1
-    accepted = seen.filter(F.when(birth, ~exists).otherwise(exists)).drop("alive")
+    accepted = written_table(seen.filter(F.when(birth, ~exists).otherwise(exists)).drop("alive"), "accepted")
 
-    bumps = action.isin("UPDATE", "PAUSE", "RESUME").cast("bigint")
+    bump = action.isin("UPDATE", "PAUSE", "RESUME").cast("bigint")
+    content = F.when(birth | (action == "UPDATE"), F.struct(*MUTABLE))
+    status = (F.when(action == "LOAD", F.col("__status")).when(action.isin("CREATE", "RESUME"), "ACTIVE")
+              .when(action == "PAUSE", "PAUSED"))
     state = running(accepted, key, order, block, [
-        Running("bumps", "sum", bumps),
+        Running("life", "sum", birth.cast("bigint")), Running("bumps", "sum", bump),
         Running("identity", "last", F.when(birth, F.struct(*IDENTITY))),
-        Running("content", "last", F.when(birth | (action == "UPDATE"), F.struct(*MUTABLE))),
-        Running("status", "last", F.when(action == "LOAD", F.col("__status"))
-                .when(action.isin("CREATE", "RESUME"), "ACTIVE").when(action == "PAUSE", "PAUSED")),
+        Running("content", "last", content), Running("content_before", "last", content, inclusive=False),
+        Running("status", "last", status), Running("status_before", "last", status, inclusive=False),
     ])
-    base = F.when(birth, F.coalesce(F.col("__version"), F.lit(1)) - F.col("bumps"))
-    state = running(state, key, order, block, [Running("base", "last", base)])
-    state = state.select(
+    state = written_table(state, "states")
+    first = F.coalesce(F.col("__version"), F.lit(1)) - F.col("bumps")
+    births = state.filter(birth).select("config_id", "life", first.alias("base"))
+    version = F.col("base") + F.col("bumps")
+    return state.join(births, ["config_id", "life"]).select(
         "config_id", "seq", "action", "operator", "changed_at",
-        F.struct("identity.*", "content.*", "status",
-                 (F.col("base") + F.col("bumps")).cast("int").alias("version")).alias("after"),
+        F.struct("identity.*", "content.*", "status", version.cast("int").alias("version")).alias("after"),
+        F.when(~birth, F.struct("identity.*", "content_before.*", F.col("status_before").alias("status"),
+                                (version - bump).cast("int").alias("version"))).alias("before"),
     )
-    return running(state, key, order, block, [Running("before", "last", F.col("after"), inclusive=False)])
 
 
 def apply_changes(snapshot: DataFrame, changes: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from topiclake import constants as C
 from topiclake.functions.casts import payload_bytes
 from topiclake.functions.display import megabytes, uptime_text
 from topiclake.operators.running import Running, running, time_block
-from topiclake.session import broadcast_if_small
+from topiclake.session import broadcast_if_small, written_table
 
 KEYS = ["topic", "partition"]
 
@@ -88,17 +88,13 @@ def topic_totals(configs: DataFrame) -> DataFrame:
 
 
 def pending_bytes(records: DataFrame, commits: DataFrame, cap_bytes: int) -> DataFrame:
-    """Bytes above the commit offset per topic, with their share of `cap_bytes` and the overall share."""
+    """Bytes above the commit offset per topic, and over all topics in the row without a topic, with
+    their share of `cap_bytes`."""
     at = commits.select(*KEYS, "commit_offset")
     open_rows = records.join(broadcast_if_small(at), KEYS, "left").filter(
         F.col("commit_offset").isNull() | (F.col("offset") >= F.col("commit_offset")))
-    per_topic = open_rows.groupBy("topic").agg(F.sum(payload_bytes(F.col("value"))).alias("pending_bytes"))
-    total = F.sum("pending_bytes").over(W.partitionBy())
-    return per_topic.withColumns({
-        "usage_ratio": F.col("pending_bytes") / F.lit(float(cap_bytes)),
-        "total_bytes": total,
-        "total_ratio": total / F.lit(float(cap_bytes)),
-    })
+    sums = open_rows.rollup("topic").agg(F.sum(payload_bytes(F.col("value"))).alias("pending_bytes"))
+    return sums.withColumn("usage_ratio", F.col("pending_bytes") / F.lit(float(cap_bytes)))
 
 
 # --- lag -------------------------------------------------------------------------------------------
@@ -154,6 +150,7 @@ def alert_hold(samples: DataFrame, key: str, at: str, breach: Column, hold_sec:
     marked = samples.withColumn("breach", F.coalesce(breach, F.lit(False)))
     first = running(marked, [key], [at], time_block(at), [
         Running("was_breach", "last", F.col("breach"), inclusive=False)])
+    first = written_table(first, "breaches")  # the next pass reads its input twice
     opens = F.when(F.col("breach") & ~F.coalesce("was_breach", F.lit(False)), F.col(at))
     seen = running(first, [key], [at], time_block(at), [Running("since", "last", opens)])
     since = F.when(F.col("breach"), F.col("since"))

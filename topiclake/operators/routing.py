@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from topiclake import constants as C
 from topiclake.functions.paths import escapes_root, resolve_path
 from topiclake.operators.running import asof_last, time_block
-from topiclake.session import broadcast_if_small, is_small
+from topiclake.session import broadcast_if_small, is_small, written_table
 
 BROADCAST_VERSIONS = 1000
 RECORD_BLOCK_SEC = 60
@@ -23,7 +23,7 @@ def compiles(pattern: Column) -> Column:
 def literal_prefix(pattern: Column) -> Column:
     """Text every full match of `pattern` must start with (empty when unknown)."""
     head = F.regexp_extract(pattern, r"^((?:[A-Za-z0-9_\-](?![?*{]))*)", 1)
-    return F.when(F.contains(pattern, F.lit("|")), F.lit("")).otherwise(head)
+    return F.when(F.contains(pattern, F.lit("|")), F.lit("")).otherwise(F.left(head, F.lit(C.MAX_REGEX)))
 
 
 def full_match(topic: Column, pattern: Column) -> Column:
@@ -31,10 +31,12 @@ def full_match(topic: Column, pattern: Column) -> Column:
 
 
 def _candidates(topics: DataFrame, patterns: DataFrame) -> DataFrame:
-    """(topic, pattern id) pairs that match, found by an equi-join on the pattern's literal prefix."""
-    keyed = patterns.filter(compiles(F.col("topic_name"))).select(
-        "id", F.col("topic_name").alias("pattern"), literal_prefix(F.col("topic_name")).alias("prefix")
-    )
+    """(topic, pattern id) pairs that match, found by an equi-join on the pattern's literal prefix.
+
+    Of several configurations with one pattern only the lowest id can win, so they are merged first.
+    """
+    unique = patterns.groupBy(F.col("topic_name").alias("pattern")).agg(F.min("id").alias("id"))
+    keyed = unique.filter(compiles(F.col("pattern"))).withColumn("prefix", literal_prefix(F.col("pattern")))
     lengths = F.sequence(F.lit(0), F.least(F.length("topic"), F.lit(C.MAX_REGEX)))
     prefixes = topics.select("topic", F.explode(lengths).alias("n")).select(
         "topic", F.expr("left(topic, n)").alias("prefix")
@@ -45,16 +47,18 @@ def _candidates(topics: DataFrame, patterns: DataFrame) -> DataFrame:
 def match_topics(topics: DataFrame, configs: DataFrame) -> DataFrame:
     """Each distinct topic with its configuration: an exact name beats a pattern, then the lowest id.
 
-    Patterns are tried on distinct topics, never per record.
+    Patterns are tried on distinct topics, never per record, and once: the map is written out, since
+    sizing it, routing by it and listing what it misses all read it again.
     """
     distinct = topics.select("topic").where("topic is not null").distinct()
-    exact = configs.filter("match_type = 'EXACT'").select(F.col("topic_name").alias("topic"), "id")
+    exact = configs.filter("match_type = 'EXACT'").groupBy(F.col("topic_name").alias("topic")).agg(
+        F.min("id").alias("id"))
     by_name = distinct.join(exact, "topic").select("topic", F.lit(0).alias("by_pattern"), "id")
     by_pattern = _candidates(distinct, configs.filter("match_type = 'REGEX'")).select(
         "topic", F.lit(1).alias("by_pattern"), "id"
     )
     best = by_name.unionByName(by_pattern).groupBy("topic").agg(F.min(F.struct("by_pattern", "id")).alias("best"))
-    return best.select("topic", F.col("best.id").alias("id")).join(configs, "id")
+    return written_table(best.select("topic", F.col("best.id").alias("id")).join(configs, "id"), "topic-map")
 
 
 def subscription_topics(existing: DataFrame, configs: DataFrame) -> DataFrame:

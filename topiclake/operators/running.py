@@ -42,7 +42,8 @@ def running(df: DataFrame, keys: list[str], order: list[str], block: Column, spe
     """Add every `Running` of `specs` to `df`.
 
     `block` must not decrease along `order`, and `order` must be total within a key wherever ties
-    would matter.
+    would matter. The plan reads `df` twice, once for the narrow summaries, so cut the lineage
+    (`session.written_table`) between chained passes.
     """
     blocked = df.withColumn(BLOCK, block)
     names = [(s, f"__v_{s.name}", f"__c_{s.name}") for s in specs]

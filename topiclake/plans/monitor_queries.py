@@ -110,12 +110,12 @@ CAP = 1_000_000
 
 @query("pending_bytes", with_clause("clean_events_env") + COMMITS + f"""
 , o AS (SELECT e.topic, CAST(sum(octet_length(encode(e.value))) AS BIGINT) AS pending_bytes FROM clean_events_env e JOIN commits c ON e.topic = c.topic AND e.part = c.part
- WHERE e.off >= c.commit_offset GROUP BY e.topic)
-SELECT topic, pending_bytes, round(pending_bytes / {CAP}.0, 6) AS usage_ratio, CAST(sum(pending_bytes) OVER () AS BIGINT) AS total_bytes, round(sum(pending_bytes) OVER () / {CAP}.0, 6) AS total_ratio FROM o""")
+ WHERE e.off >= c.commit_offset GROUP BY ROLLUP (e.topic))
+SELECT topic, pending_bytes, round(pending_bytes / CAST({CAP} AS DOUBLE), 6) AS usage_ratio FROM o""")
 def pending_bytes(spark, sf):
     records = envelope(spark, sf, "clean_events_env")
     out = monitor.pending_bytes(records, _commits(records), CAP)
-    return out.withColumns({c: F.round(c, 6) for c in ("usage_ratio", "total_ratio")})
+    return out.withColumn("usage_ratio", F.round("usage_ratio", 6))
 
 
 LAG = with_clause("clean_events_env") + COMMITS + """

@@ -107,19 +107,38 @@ def layout_of(template: str) -> Layout:
     return Layout(prefix if absolute else "/" + prefix, tuple(directories))
 
 
-def sink_groups(configs: DataFrame) -> list[dict]:
-    """The distinct (schema, format, codec, template) settings in use with their configuration ids.
+SETTING = ["schema_json", "sink_format", "compression", "sink_path", "partition_by", "flush_rows"]
 
-    This is the one control-plane read: a row per setting of the configuration table, not data.
+
+def _settings_of(configs: DataFrame) -> DataFrame:
+    """The configurations' ids and sink settings; no partition columns is empty text, no row limit 0."""
+    limit = F.coalesce("flush_rows", F.lit(0)) if "flush_rows" in configs.columns else F.lit(0)
+    return configs.select(
+        F.col("id").alias("config_id"), *SETTING[:4], F.coalesce("partition_by", F.lit("")).alias("partition_by"),
+        limit.cast("int").alias("flush_rows"))
+
+
+def sink_settings(configs: DataFrame) -> list[dict]:
+    """The distinct sink settings in use.
+
+    This is the one control-plane read on the driver: a row per setting of the configuration table.
     """
-    keys = ["schema_json", "sink_format", "compression", "sink_path", "partition_by"]
-    grouped = configs.groupBy(*keys).agg(F.sort_array(F.collect_set("id")).alias("ids"))
-    return [r.asDict() for r in grouped.orderBy(F.col("ids")[0]).collect()]
+    rows = _settings_of(configs).select(*SETTING).distinct()
+    return [r.asDict() for r in rows.orderBy(*SETTING).collect()]
 
 
-def _directories(layout: Layout, names: set[str], tz: str | None, as_of: Column | None) -> dict[str, Column]:
+def _with_setting(routed: DataFrame, configs: DataFrame, settings: list[dict]) -> DataFrame:
+    """Add the number of each record's setting."""
+    spark = routed.sparkSession
+    ddl = ", ".join(f"{c} string" for c in SETTING[:-1]) + ", flush_rows int, __setting int"
+    numbers = spark.createDataFrame([(*[s[c] for c in SETTING], n) for n, s in enumerate(settings)], ddl)
+    of_config = _settings_of(configs).join(numbers, SETTING).select("config_id", "__setting")
+    return routed.join(broadcast_if_small(of_config), "config_id")
+
+
+def _directories(layout: Layout, names: set[str], at: str, tz: str | None, as_of: Column | None) -> dict[str, Column]:
     """Directory columns of the parsed rows; `dt`, `hour` and `minute` prefer the message's own fields."""
-    when = F.col("timestamp")
+    when = F.col(at)
     if as_of is not None:
         when = F.when(when > F.timestamp_seconds(F.lit(0)), when).otherwise(as_of)
     wall = local_time(when, tz)
@@ -138,54 +157,54 @@ def _directories(layout: Layout, names: set[str], tz: str | None, as_of: Column
     return columns
 
 
-def _staged(routed: DataFrame, groups: list[dict]) -> list[DataFrame]:
-    """The records of each group. Beyond a few groups they are written once, partitioned by group, so
-    that the source is scanned once however many groups there are."""
-    if len(groups) <= STAGE_ABOVE:
-        return [routed.filter(F.col("config_id").isin(g["ids"])) for g in groups]
-    spark = routed.sparkSession
-    numbers = spark.createDataFrame([(i, n) for n, g in enumerate(groups) for i in g["ids"]],
-                                    "config_id bigint, __setting int")
+def _staged(placed: DataFrame) -> DataFrame:
+    """The records written once, partitioned by setting: the source is then scanned once however many
+    settings there are, and each setting reads its own directory."""
+    spark = placed.sparkSession
     path = scratch_path(spark, "routed")
-    placed = routed.join(broadcast_if_small(numbers), "config_id")
     placed.hint("rebalance", "__setting").write.partitionBy("__setting").parquet(path)
-    return [spark.read.parquet(path).filter(F.col("__setting") == n).drop("__setting") for n in range(len(groups))]
+    return spark.read.parquet(path)
 
 
 def fan_out(routed: DataFrame, configs: DataFrame, root: str, quarantine: str, *, mode: str = "append",
-            extra_partition: tuple[str, ...] = (), staged: bool = False, tz: str | None = None,
-            as_of: Column | None = None) -> None:
+            extra_partition: tuple[str, ...] = (), staged: bool = False, at: str = "timestamp",
+            tz: str | None = None, as_of: Column | None = None) -> None:
     """Write every routed record below `root` by its configuration's schema, format, codec and template.
 
     Directories below the static part of a template are Hive style (`date=2026-03-22`), so one write
-    covers all dates of a configuration and readers prune on them. Records that are no JSON object,
-    lack a required field or resolve to a path with `..` go to the `quarantine` table instead.
-    `staged` says the caller already holds the records in a cheap form.
+    covers all dates of a configuration and readers prune on them. A file holds at most the
+    configuration's flush_rows. Records that are no JSON object, lack a required field or resolve to a
+    path with `..` go to the `quarantine` table instead. `staged` says the caller already holds the
+    records in a cheap form; `at` names the column with the time to route by.
     """
-    groups = sink_groups(configs)
-    parts = [routed.filter(F.col("config_id").isin(g["ids"])) for g in groups] if staged else _staged(routed, groups)
-    for n, (group, mine) in enumerate(zip(groups, parts)):
+    settings = sink_settings(configs)
+    placed = _with_setting(routed, configs, settings)
+    if not staged and len(settings) > STAGE_ABOVE:
+        placed = _staged(placed)
+    for n, group in enumerate(settings):
+        mine = placed.filter(F.col("__setting") == n)
         fields = parse_schema(group["schema_json"])
         names = {f.name for f in fields}
         layout = layout_of(group["sink_path"])
-        directories = _directories(layout, names, tz, as_of)
+        directories = _directories(layout, names, at, tz, as_of)
         unsafe = escapes_root(F.concat_ws("/", *directories.values())) if directories else F.lit(False)
 
         def checked(columns: list[Field]) -> DataFrame:
-            parsed = check_required(parse_json(mine, columns), fields)
+            parsed = check_required(parse_json(mine.drop("__setting"), columns), fields)
             return parsed.withColumn("reason", F.coalesce("reason", F.when(unsafe, "resolved path contains '..'")))
 
         good = valid_rows(checked(fields))
         kept = [c for c in extra_partition if c not in names]
         row = [F.col(ROW)[f.name].alias(f.name) for f in fields if f.name not in directories]
         out = good.select(*row, *kept, *[v.alias(k) for k, v in directories.items()])
-        by = [c.strip() for c in (group["partition_by"] or "").split(",") if c.strip() in names]
+        by = [c.strip() for c in group["partition_by"].split(",") if c.strip() in names]
         partition_by = tuple(dict.fromkeys([*directories, *by, *kept]))
         # Gather each directory in few tasks, or every task would leave a file in every directory; AQE
         # splits the directories that hold much and merges those that hold little.
         out = out.hint("rebalance", *partition_by) if partition_by else out
         target = layout.root if "://" in layout.root else root.rstrip("/") + layout.root
-        write_format(out, target, group["sink_format"], group["compression"], mode=mode, partition_by=partition_by)
+        write_format(out, target, group["sink_format"], group["compression"], mode=mode,
+                     partition_by=partition_by, max_records=group["flush_rows"])
 
         # The rejected rows need only the fields their reasons depend on.
         needed = [f for f in fields if not f.nullable or f.name in ("dt", "hour", "minute")]

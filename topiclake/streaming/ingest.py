@@ -7,6 +7,7 @@ batch that is run again after a failure rewrites its own directories. Spark comm
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 
@@ -54,8 +55,13 @@ def drop_replays(stream: DataFrame, delay: str) -> DataFrame:
 class IngestJob:
     """Writes below `root`: data, quarantine, unmatched, manifest, metrics, configs, config_changes."""
 
-    def __init__(self, read_configs: Callable[[SparkSession], DataFrame], root: str):
+    def __init__(self, read_configs: Callable[[SparkSession], DataFrame], root: str, *, route: str = "record",
+                 tz: str | None = None):
+        """`route` is `record` (each record's own time) or `flush` (the first record of its partition's batch)."""
+        if route not in ("record", "flush"):
+            raise ValueError("route must be record or flush")
         self.read_configs = read_configs
+        self.route, self.tz = route, tz
         self.root = root.rstrip("/")
         self.checkpoint = f"{self.root}/checkpoint"
         self.run_id = "run"
@@ -110,6 +116,7 @@ class IngestJob:
         return f"{self.run_id}-{number:09d}"
 
     def process(self, records: DataFrame, number: int) -> None:
+        began = time.monotonic()
         spark = records.sparkSession
         batch = self.batch_name(number)
         configs = self._pinned_configs(spark, batch)
@@ -123,8 +130,12 @@ class IngestJob:
                     F.max("offset").alias("end_offset")),
                 "unmatched", batch)
             routed = routing.route(records, matched).withColumn("batch", F.lit(batch))
+            at = "timestamp"
+            if self.route == "flush":
+                first = records.groupBy(*KEYS).agg(F.min_by("timestamp", "offset").alias("first_ts"))
+                routed, at = routed.join(broadcast_if_small(first), KEYS), "first_ts"
             fan_out(routed, configs, f"{self.root}/data", f"{self.root}/quarantine", mode="overwrite",
-                    extra_partition=("batch",), staged=True)
+                    extra_partition=("batch",), staged=True, at=at, tz=self.tz)
             self._write(
                 records.groupBy(*KEYS, "offset").agg(
                     F.count(F.lit(1)).alias("n"), F.sum(payload_bytes(F.col("value"))).alias("size"),
@@ -135,11 +146,12 @@ class IngestJob:
                     F.sum("size").alias("bytes"), F.min_by("at", "offset").alias("first_ts"),
                 ).withColumn("created_at", F.current_timestamp()),
                 "manifest", batch)
-            self._metrics(spark, records, batch)
+            self._metrics(spark, records, batch, began)
         finally:
             records.unpersist()
 
-    def _metrics(self, spark: SparkSession, records: DataFrame, batch: str) -> None:
+    def _metrics(self, spark: SparkSession, records: DataFrame, batch: str, began: float) -> None:
+        """Records, bytes and rejected records per topic, and how long the batch took to write."""
         seen = records.groupBy("topic").agg(
             F.count(F.lit(1)).alias("records"), F.sum(payload_bytes(F.col("value"))).alias("bytes"))
         bad = table_or_none(spark, f"{self.root}/quarantine")
@@ -148,7 +160,8 @@ class IngestJob:
         else:
             mine = bad.filter(F.col("batch") == batch).groupBy("topic").agg(F.count(F.lit(1)).alias("rejected"))
             out = seen.join(mine, "topic", "left").withColumn("rejected", F.coalesce("rejected", F.lit(0)))
-        self._write(out, "metrics", batch)
+        took = int((time.monotonic() - began) * 1000)
+        self._write(out.withColumn("duration_ms", F.lit(took).cast("bigint")), "metrics", batch)
 
     def start(self, stream: DataFrame, *, interval: str | None = None) -> StreamingQuery:
         """Run continuously every `interval`, or until the source is drained when it is None."""
