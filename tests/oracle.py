@@ -32,7 +32,7 @@ def plain(value):
     if hasattr(value, "item"):
         value = value.item()
     if isinstance(value, float):
-        return float(f"{value:.9g}")
+        return float(repr(value))
     return value
 
 

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial, reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +30,8 @@ CSV_OPTIONS = {
 ENVELOPE_COLUMNS = ["topic", "partition", "offset", "timestamp", "value"]
 MAX_PATH_WRITES = 64
 STAGE_ABOVE = 2
+WRITERS = 8
+QUARANTINE_CHUNK = 16
 
 
 def write_parquet(df: DataFrame, path: str, codec: str = "SNAPPY", *, mode: str = "append",
@@ -181,20 +187,17 @@ def fan_out(routed: DataFrame, configs: DataFrame, root: str, quarantine: str, *
     placed = _with_setting(routed, configs, settings)
     if not staged and len(settings) > STAGE_ABOVE:
         placed = _staged(placed)
+
+    writes, rejected = [], []
     for n, group in enumerate(settings):
-        mine = placed.filter(F.col("__setting") == n)
+        mine = placed.filter(F.col("__setting") == n).drop("__setting")
         fields = parse_schema(group["schema_json"])
         names = {f.name for f in fields}
         layout = layout_of(group["sink_path"])
         directories = _directories(layout, names, at, tz, as_of)
-        unsafe = escapes_root(F.concat_ws("/", *directories.values())) if directories else F.lit(False)
-
-        def checked(columns: list[Field]) -> DataFrame:
-            parsed = check_required(parse_json(mine.drop("__setting"), columns), fields)
-            return parsed.withColumn("reason", F.coalesce("reason", F.when(unsafe, "resolved path contains '..'")))
-
-        good = valid_rows(checked(fields))
         kept = [c for c in extra_partition if c not in names]
+
+        good = valid_rows(_checked(mine, fields, fields, directories))
         row = [F.col(ROW)[f.name].alias(f.name) for f in fields if f.name not in directories]
         out = good.select(*row, *kept, *[v.alias(k) for k, v in directories.items()])
         by = [c.strip() for c in group["partition_by"].split(",") if c.strip() in names]
@@ -203,14 +206,35 @@ def fan_out(routed: DataFrame, configs: DataFrame, root: str, quarantine: str, *
         # splits the directories that hold much and merges those that hold little.
         out = out.hint("rebalance", *partition_by) if partition_by else out
         target = layout.root if "://" in layout.root else root.rstrip("/") + layout.root
-        write_format(out, target, group["sink_format"], group["compression"], mode=mode,
-                     partition_by=partition_by, max_records=group["flush_rows"])
+        writes.append(partial(write_format, out, target, group["sink_format"], group["compression"], mode=mode,
+                              partition_by=partition_by, max_records=group["flush_rows"]))
 
         # The rejected rows need only the fields their reasons depend on.
         needed = [f for f in fields if not f.nullable or f.name in ("dt", "hour", "minute")]
-        bad = checked(needed).filter("reason IS NOT NULL").select(
-            *ENVELOPE_COLUMNS, "reason", "config_id", *kept, F.lit(n).alias("setting"))
-        write_parquet(bad, quarantine, mode=mode, partition_by=(*kept, "setting"))
+        bad = _checked(mine, needed, fields, directories).filter("reason IS NOT NULL")
+        rejected.append(bad.select(*ENVELOPE_COLUMNS, "reason", "config_id", *extra_partition))
+
+    for n in range(0, len(rejected), QUARANTINE_CHUNK):
+        together = reduce(DataFrame.unionByName, rejected[n:n + QUARANTINE_CHUNK])
+        writes.append(partial(write_parquet, together.withColumn("chunk", F.lit(n)), quarantine, mode=mode,
+                              partition_by=(*extra_partition, "chunk")))
+    _run_all(routed.sparkSession, writes)
+
+
+def _checked(records: DataFrame, columns: list[Field], fields: list[Field], directories: dict[str, Column]) -> DataFrame:
+    """Parse `columns` and give every rejected record its reason."""
+    parsed = check_required(parse_json(records, columns), fields)
+    if not directories:
+        return parsed
+    unsafe = escapes_root(F.concat_ws("/", *directories.values()))
+    return parsed.withColumn("reason", F.coalesce("reason", F.when(unsafe, "resolved path contains '..'")))
+
+
+def _run_all(spark: SparkSession, writes: list[Callable[[], None]]) -> None:
+    """Run independent writes side by side, so that many small topics do not wait for one another."""
+    with ThreadPoolExecutor(WRITERS) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(w)) for w in writes]:
+            done.result()
 
 
 def write_exact_paths(rows: DataFrame, root: str, sink_format: str, codec: str, mode: str = "append") -> bool:
