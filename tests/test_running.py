@@ -8,9 +8,10 @@ from topiclake.operators.running import Running, asof_last, offset_block, row_po
 def series(seed, n=400):
     rng = random.Random(seed)
     rows, at = [], 0
+    keys = ["hot", "hot", "hot", "b", None]
     for _ in range(n):
         at += rng.choice([1, 1, 2, 9])
-        rows.append((rng.choice(["hot", "hot", "hot", "b"]), at, rng.choice([None, rng.randint(-5, 5)])))
+        rows.append((rng.choice(keys), at, rng.choice([None, rng.randint(-5, 5)])))
     return rows
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 BLOCK = "__block"
+OWN = "__own_row"
 OFFSETS_PER_BLOCK = 1 << 20
 SECONDS_PER_BLOCK = 6 * 3600  # for sampled series; record streams pass a shorter block
 
@@ -42,42 +43,33 @@ def running(df: DataFrame, keys: list[str], order: list[str], block: Column, spe
     """Add every `Running` of `specs` to `df`.
 
     `block` must not decrease along `order`, and `order` must be total within a key wherever ties
-    would matter. The plan reads `df` twice, once for the narrow summaries, so cut the lineage
-    (`session.written_table`) between chained passes.
+    would matter. The carried values enter each block as one extra first row, so there is no join and
+    the rows are shuffled once. The plan reads `df` twice, once for the narrow summaries: cut the
+    lineage (`session.written_table`) between chained passes.
     """
-    blocked = df.withColumn(BLOCK, block)
-    names = [(s, f"__v_{s.name}", f"__c_{s.name}") for s in specs]
-    blocked = blocked.withColumns({v: s.value for s, v, _ in names})
+    values = {s.name: f"__v_{s.name}" for s in specs}
+    blocked = df.withColumns({BLOCK: block, **{values[s.name]: s.value for s in specs}})
 
-    inside = W.partitionBy(*keys, BLOCK).orderBy(*order)
     position = F.struct(*order)
-    local, summary, carry, result = {}, [], {}, {}
     before = W.partitionBy(*keys).orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)
-    for s, v, c in names:
+    of_block = {
+        "sum": F.sum, "max": F.max,
+        "last": lambda v: F.max_by(v, F.when(F.col(v).isNotNull(), position)),
+    }
+    along = {"sum": F.sum, "max": F.max, "last": lambda v: F.last(v, ignorenulls=True)}
+    summaries = blocked.groupBy(*keys, BLOCK).agg(*[of_block[s.kind](values[s.name]).alias(values[s.name]) for s in specs])
+    carried = summaries.withColumns({values[s.name]: along[s.kind](values[s.name]).over(before) for s in specs})
+
+    both = blocked.withColumn(OWN, F.lit(True)).unionByName(
+        carried.withColumn(OWN, F.lit(False)), allowMissingColumns=True)
+    inside = W.partitionBy(*keys, BLOCK).orderBy(OWN, *order)
+    result = {}
+    for s in specs:
         frame = inside.rowsBetween(W.unboundedPreceding, 0 if s.inclusive else -1)
-        if s.kind == "sum":
-            local[s.name] = F.sum(v).over(frame)
-            summary.append(F.sum(v).alias(c))
-            carry[c] = F.sum(c).over(before)
-            result[s.name] = F.coalesce(F.col(c), F.lit(0)) + F.coalesce(F.col(s.name), F.lit(0))
-        elif s.kind == "max":
-            local[s.name] = F.max(v).over(frame)
-            summary.append(F.max(v).alias(c))
-            carry[c] = F.max(c).over(before)
-            result[s.name] = F.greatest(F.col(c), F.col(s.name))
-        elif s.kind == "last":
-            local[s.name] = F.last(v, ignorenulls=True).over(frame)
-            summary.append(F.max_by(v, F.when(F.col(v).isNotNull(), position)).alias(c))
-            carry[c] = F.last(c, ignorenulls=True).over(before)
-            result[s.name] = F.coalesce(F.col(s.name), F.col(c))
-        else:
-            raise ValueError(f"unknown running kind {s.kind}")
-
-    carried = blocked.groupBy(*keys, BLOCK).agg(*summary).withColumns(carry)
-    scanned = blocked.withColumns(local)
-    joined = scanned.join(carried, [*keys, BLOCK])
+        value = along[s.kind](values[s.name]).over(frame)
+        result[s.name] = F.coalesce(value, F.lit(0)) if s.kind == "sum" else value
     out = [c for c in df.columns if c not in result]
-    return joined.withColumns(result).select(*out, *[s.name for s in specs])
+    return both.withColumns(result).filter(OWN).select(*out, *result)
 
 
 def row_positions(df: DataFrame, keys: list[str], order: str, name: str = "rn") -> DataFrame:
