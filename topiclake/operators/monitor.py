@@ -93,7 +93,8 @@ def pending_bytes(records: DataFrame, commits: DataFrame, cap_bytes: int) -> Dat
     at = commits.select(*KEYS, "commit_offset")
     open_rows = records.join(broadcast_if_small(at), KEYS, "left").filter(
         F.col("commit_offset").isNull() | (F.col("offset") >= F.col("commit_offset")))
-    sums = open_rows.rollup("topic").agg(F.sum(payload_bytes(F.col("value"))).alias("pending_bytes"))
+    per_topic = open_rows.groupBy("topic").agg(F.sum(payload_bytes(F.col("value"))).alias("bytes"))
+    sums = per_topic.rollup("topic").agg(F.sum("bytes").alias("pending_bytes"))
     return sums.withColumn("usage_ratio", F.col("pending_bytes") / F.lit(float(cap_bytes)))
 
 

@@ -9,6 +9,7 @@ from topiclake.functions import paths
 from topiclake.functions.casts import payload_bytes
 from topiclake.functions.schema import parse_schema
 from topiclake.operators import batching, parse, ranges, routing
+from topiclake.plans.flagship import landed_events
 from topiclake.plans.recipes import SCHEMAS, derived, envelope, manifest, table, with_clause
 from topiclake.plans.registry import query
 from topiclake.session import scratch_path
@@ -266,6 +267,15 @@ def config_asof(spark, sf):
     return _short(found.select("topic", "offset", "version"))
 
 
+@query("landed_events", _objects("events_env") + f"""
+, typed AS (SELECT topic, off, ts AS rec, {EVENT_COLUMNS} FROM objects WHERE j IS NOT NULL)
+SELECT '/hdfs/kafka/data/user_events/' || topic || '/' || strftime(rec, '%Y-%m-%d') AS path, count(*) AS records,
+ min(off) AS first_offset, max(off) AS last_offset, CAST(sum(duration_ms) AS BIGINT) AS duration_ms
+FROM typed WHERE uid IS NOT NULL AND event IS NOT NULL AND ts IS NOT NULL GROUP BY 1""")
+def flagship(spark, sf):
+    return landed_events(spark, sf)
+
+
 # --- batches ---------------------------------------------------------------------------------------
 
 FLUSH_ROWS = 64

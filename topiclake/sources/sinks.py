@@ -195,13 +195,14 @@ def fan_out(routed: DataFrame, configs: DataFrame, root: str, quarantine: str, *
         names = {f.name for f in fields}
         layout = layout_of(group["sink_path"])
         directories = _directories(layout, names, at, tz, as_of)
-        kept = [c for c in extra_partition if c not in names]
+        kept = {c: c if c not in names else f"_{c}" for c in extra_partition}
 
         good = valid_rows(_checked(mine, fields, fields, directories))
         row = [F.col(ROW)[f.name].alias(f.name) for f in fields if f.name not in directories]
-        out = good.select(*row, *kept, *[v.alias(k) for k, v in directories.items()])
+        row += [F.col(c).alias(k) for c, k in kept.items()]
+        out = good.select(*row, *[v.alias(k) for k, v in directories.items()])
         by = [c.strip() for c in group["partition_by"].split(",") if c.strip() in names]
-        partition_by = tuple(dict.fromkeys([*directories, *by, *kept]))
+        partition_by = tuple(dict.fromkeys([*directories, *by, *kept.values()]))
         # Gather each directory in few tasks, or every task would leave a file in every directory; AQE
         # splits the directories that hold much and merges those that hold little.
         out = out.hint("rebalance", *partition_by) if partition_by else out

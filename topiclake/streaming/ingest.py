@@ -10,6 +10,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -53,7 +54,7 @@ def drop_replays(stream: DataFrame, delay: str) -> DataFrame:
 
 
 class IngestJob:
-    """Writes below `root`: data, quarantine, unmatched, manifest, metrics, configs, config_changes."""
+    """Writes below `root`: data, quarantine, unmatched, manifest/<run>, metrics, configs, config_changes, runs."""
 
     def __init__(self, read_configs: Callable[[SparkSession], DataFrame], root: str, *, route: str = "record",
                  tz: str | None = None):
@@ -65,51 +66,69 @@ class IngestJob:
         self.root = root.rstrip("/")
         self.checkpoint = f"{self.root}/checkpoint"
         self.run_id = "run"
+        self._ranges: DataFrame | None = None
+        self._ranges_read = False
 
     def _own_run(self, spark: SparkSession) -> str:
         """An id that lives and dies with the checkpoint, so batch numbers of a new one do not clash."""
         path = f"{self.checkpoint}-run"
         known = table_or_none(spark, path)
         if known is None:
-            spark.range(1).select(F.lit(uuid.uuid4().hex[:12]).alias("run")).write.parquet(path)
+            new = spark.createDataFrame([(uuid.uuid4().hex[:12],)], "run string").coalesce(1)
+            new.write.parquet(path)
             known = spark.read.parquet(path)
-        return known.first()["run"]
+        run = known.first()["run"]
+        runs = table_or_none(spark, f"{self.root}/runs")
+        if runs is None or runs.filter(F.col("run") == run).isEmpty():
+            known.coalesce(1).write.mode("append").parquet(f"{self.root}/runs")
+        return run
 
     def _write(self, rows: DataFrame, name: str, batch: str) -> None:
         write_parquet(rows.withColumn("batch", F.lit(batch)), f"{self.root}/{name}", mode="overwrite",
                       partition_by=("batch",))
 
+    def _of_batch(self, spark: SparkSession, name: str, batch: str) -> DataFrame | None:
+        """What a batch wrote, read from its own directory: no listing that grows with the batches."""
+        return table_or_none(spark, f"{self.root}/{name}/batch={batch}")
+
     def _pinned_configs(self, spark: SparkSession, batch: str) -> DataFrame:
         """The configuration snapshot of a batch: read once, kept, and reused when the batch is replayed.
 
         One file, so that it is there whole or not at all.
         """
-        path = f"{self.root}/configs"
-        pins = table_or_none(spark, path)
-        if pins is None or pins.filter(F.col("batch") == batch).isEmpty():
+        pinned = self._of_batch(spark, "configs", batch)
+        if pinned is None:
             self._write(active_configs(self.read_configs(spark)).coalesce(1), "configs", batch)
-            pins = spark.read.parquet(path)
-        return pins.filter(F.col("batch") == batch).drop("batch")
+            pinned = self._of_batch(spark, "configs", batch)
+        return pinned
 
     def _config_changes(self, spark: SparkSession, configs: DataFrame, number: int, batch: str) -> None:
-        if number == 0:
-            return
-        previous = spark.read.parquet(f"{self.root}/configs").filter(F.col("batch") == self.batch_name(number - 1))
-        self._write(config_diff(previous, configs), "config_changes", batch)
-
-    def _without_replays(self, spark: SparkSession, records: DataFrame, batch: str) -> DataFrame:
-        """Leave out the (topic, partition) ranges another batch has written already.
-
-        Only ranges in which every offset was seen count as written: a file source may interleave the
-        offsets of several batches, and a record that was never written must not be taken for a replay.
-        """
-        stored = table_or_none(spark, f"{self.root}/manifest")
+        previous = self._of_batch(spark, "configs", self.batch_name(number - 1)) if number else None
+        if previous is not None:
+            self._write(config_diff(previous, configs), "config_changes", batch)
+
+    def _written_elsewhere(self, spark: SparkSession) -> DataFrame | None:
+        """Gapless ranges of earlier runs. Within a run Spark's offset log never hands out a range twice."""
+        if not self._ranges_read:
+            runs = [r["run"] for r in spark.read.parquet(f"{self.root}/runs").distinct().collect()]
+            found = [table_or_none(spark, f"{self.root}/manifest/{r}") for r in sorted(runs) if r != self.run_id]
+            found = [t for t in found if t is not None]
+            if found:
+                # A file source may interleave the offsets of several batches, and a record that was never
+                # written must not be taken for a replay: only ranges with every offset seen count.
+                dense = F.col("distinct_offsets") == F.col("end_offset") - F.col("start_offset") + 1
+                self._ranges = reduce(DataFrame.unionByName, found).filter(dense).withColumn(
+                    "recorded_at", F.col("created_at"))
+            self._ranges_read = True
+        return self._ranges
+
+    def _without_replays(self, spark: SparkSession, records: DataFrame) -> DataFrame:
+        """Leave out the (topic, partition) ranges an earlier run has written already."""
+        stored = self._written_elsewhere(spark)
         if stored is None:
             return records
         spans = records.groupBy(*KEYS).agg(F.min("offset").alias("start_offset"), F.max("offset").alias("end_offset"))
-        dense = F.col("distinct_offsets") == F.col("end_offset") - F.col("start_offset") + 1
-        others = stored.filter((F.col("batch") != batch) & dense).withColumn("recorded_at", F.col("created_at"))
-        covered = ranges.already_written(spans, others).filter("covered").select(*KEYS)
+        covered = ranges.already_written(spans, stored).filter("covered").select(*KEYS)
         return records.join(broadcast_if_small(covered), KEYS, "left_anti")
 
     def batch_name(self, number: int) -> str:
@@ -121,7 +140,7 @@ class IngestJob:
         batch = self.batch_name(number)
         configs = self._pinned_configs(spark, batch)
         self._config_changes(spark, configs, number, batch)
-        records = self._without_replays(spark, records, batch).persist()
+        records = self._without_replays(spark, records).persist()
         try:
             matched = routing.match_topics(records, configs)
             self._write(
@@ -145,7 +164,7 @@ class IngestJob:
                     F.sum("n").alias("record_count"), F.count(F.lit(1)).alias("distinct_offsets"),
                     F.sum("size").alias("bytes"), F.min_by("at", "offset").alias("first_ts"),
                 ).withColumn("created_at", F.current_timestamp()),
-                "manifest", batch)
+                f"manifest/{self.run_id}", batch)
             self._metrics(spark, records, batch, began)
         finally:
             records.unpersist()
@@ -154,11 +173,11 @@ class IngestJob:
         """Records, bytes and rejected records per topic, and how long the batch took to write."""
         seen = records.groupBy("topic").agg(
             F.count(F.lit(1)).alias("records"), F.sum(payload_bytes(F.col("value"))).alias("bytes"))
-        bad = table_or_none(spark, f"{self.root}/quarantine")
+        bad = self._of_batch(spark, "quarantine", batch)
         if bad is None:
             out = seen.withColumn("rejected", F.lit(0).cast("bigint"))
         else:
-            mine = bad.filter(F.col("batch") == batch).groupBy("topic").agg(F.count(F.lit(1)).alias("rejected"))
+            mine = bad.groupBy("topic").agg(F.count(F.lit(1)).alias("rejected"))
             out = seen.join(mine, "topic", "left").withColumn("rejected", F.coalesce("rejected", F.lit(0)))
         took = int((time.monotonic() - began) * 1000)
         self._write(out.withColumn("duration_ms", F.lit(took).cast("bigint")), "metrics", batch)
@@ -166,6 +185,7 @@ class IngestJob:
     def start(self, stream: DataFrame, *, interval: str | None = None) -> StreamingQuery:
         """Run continuously every `interval`, or until the source is drained when it is None."""
         self.run_id = self._own_run(stream.sparkSession)
+        self._ranges, self._ranges_read = None, False
         writer = with_ingest_metrics(stream).writeStream.foreachBatch(self.process)
         writer = writer.option("checkpointLocation", self.checkpoint)
         trigger = {"processingTime": interval} if interval else {"availableNow": True}
