@@ -92,10 +92,12 @@ def test_recovery_and_audit(spark):
     assert audit == [(0, 9, 2, 0, 0), (12, 20, 1, 2, 0), (18, 25, 1, 0, 3)]
 
 
-def test_latest_state_and_dedup(spark):
+def test_latest_state_and_dedup(spark, monkeypatch):
     log = spark.createDataFrame([("t", 0, 0, "WRITTEN", 1), ("t", 0, 0, "COMMITTED", 2), ("t", 0, 10, "WRITTEN", 3)],
                                 "topic string, partition int, start_offset bigint, state string, created_at int")
     assert [r["start_offset"] for r in ranges.open_checkpoints(log).collect()] == [10]
     records = spark.createDataFrame([("t", 0, 1, "b", 5), ("t", 0, 1, "a", 9), ("t", 0, 2, None, 1)],
                                     "topic string, partition int, offset bigint, value string, ts int")
-    assert sorted(tuple(r)[2:] for r in ranges.dedup_offsets(records).collect()) == [(1, "a", 9), (2, None, 1)]
+    for small in (True, False):
+        monkeypatch.setattr(ranges, "is_small", lambda df: small)
+        assert sorted(tuple(r)[2:] for r in ranges.dedup_offsets(records).collect()) == [(1, "a", 9), (2, None, 1)]

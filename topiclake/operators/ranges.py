@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from topiclake import constants as C
 from topiclake.operators.running import Running, asof_last, offset_block, running
+from topiclake.session import is_small, written_table
 
 KEYS = ["topic", "partition"]
 
@@ -88,9 +89,21 @@ def offset_audit(ranges: DataFrame) -> DataFrame:
 def dedup_offsets(records: DataFrame) -> DataFrame:
     """One record per (topic, partition, offset); of several, the one with the smallest value.
 
-    The aggregate combines on the map side, so copies of one offset collapse before the shuffle.
+    Replays are few, so the repeated positions are found first on the narrow key columns alone. While
+    they are small enough to broadcast, only the repeated records are shuffled whole and all others
+    pass straight through; otherwise every record is grouped. Copies collapse map-side either way.
     """
     keys = [*KEYS, "offset"]
+    counts = records.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    repeated = written_table(counts.filter("n > 1").select(*keys), "repeated-offsets")
+    if not is_small(repeated):
+        return _smallest(records, keys)
+    again = records.join(F.broadcast(repeated), keys, "left_semi").select(*records.columns)
+    once = records.join(F.broadcast(repeated), keys, "left_anti").select(*records.columns)
+    return once.unionByName(_smallest(again, keys))
+
+
+def _smallest(records: DataFrame, keys: list[str]) -> DataFrame:
     rest = [c for c in records.columns if c not in keys]
     first = ["value", *[c for c in rest if c != "value"]]
     kept = records.groupBy(*keys).agg(F.min(F.struct(*first)).alias("kept"))

@@ -513,10 +513,11 @@ def fanout_sink(spark, sf):
 def stream_ingest(spark, sf):
     source, root = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out")
     configs = scratch_path(spark, "stream-configs")
-    envelope(spark, sf, "mixed_env").repartition(6).write.json(source)
+    files = spark.sparkContext.defaultParallelism
+    envelope(spark, sf, "mixed_env").repartitionByRange(files, "timestamp").write.json(source)
     derived(spark, sf, "sample_configs").write.parquet(configs)
     job = IngestJob(lambda session: session.read.parquet(configs), root)
-    job.run_available(spark, source, max_files=3)
+    job.run_available(spark, source, max_files=max(files // 2, 1))
     return _landed(spark, root + "/data")
 
 
