@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +11,17 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach; a temporary one only where the session names none."""
+    """The folder every executor can reach, named by `spark.checkpoint.dir`.
+
+    Where it is unset, a session that runs in one process uses its own local folder; a cluster has no
+    folder that would do, so it is refused.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="topiclake-")
+        context = spark.sparkContext
+        if not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = f"{context.getConf().get('spark.local.dir', '/tmp')}/topiclake-{context.applicationId}"
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
@@ -25,6 +31,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder a job wrote for itself, on whatever file system it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def written_table(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage at `df` by writing it as parquet in the shared folder.
 
