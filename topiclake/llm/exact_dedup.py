@@ -50,6 +50,8 @@ def _streaming_session(spark: SparkSession) -> SparkSession:
     own.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "256")
+    # Each store would set several MB of disk aside in advance, however little it holds.
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     own.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     return own
 
