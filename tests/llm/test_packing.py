@@ -9,9 +9,11 @@ from topiclake.llm import packing
 from topiclake.llm.tokens import encode, vocabulary_path
 
 
+SLOW = Tokenizer.from_file(vocabulary_path("byte_bpe_50k.json"))
+
+
 def slow_ids(text):
-    t = Tokenizer.from_file(vocabulary_path("byte_bpe_50k.json"))
-    return t.encode(text or "", add_special_tokens=False).ids
+    return SLOW.encode(text or "", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("text", [None, "", " ", "Hello  world\n\n x", "a <|endoftext|> b", " " * 5000 + "x", "don't é 漢字 12 ½  ",
