@@ -1,4 +1,4 @@
 """All corpus queries: importing the operators registers them."""
 
-from topiclake.llm import exact_dedup, mixing, packing, simhash  # noqa: F401
+from topiclake.llm import exact_dedup, mixing, packing, quality, simhash  # noqa: F401
 from topiclake.llm.registry import ORACLES, QUERIES  # noqa: F401
