@@ -7,6 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from topiclake.llm import simhash
+from topiclake.llm.graph import forest
 
 
 def plain_fingerprint(text):
@@ -69,10 +70,10 @@ def test_links_reach_all_pairs_of_a_group(sizes):
     for n in range(len(sizes)):
         own = fps[anchors == n]
         x, y = np.nonzero(np.bitwise_count(own[:, None] ^ own[None, :]) <= 2)
-        want = simhash._forest(len(own), x, y)
+        want = forest(len(own), x, y)
         at = {f: i for i, f in enumerate(own.tolist())}
         mine = [(at[p], at[q]) for p, q in zip(a.tolist(), b.tolist()) if p in at and q in at]
-        got = simhash._forest(len(own), *(np.array(c, np.int64) for c in zip(*mine))) if mine else np.arange(len(own))
+        got = forest(len(own), *(np.array(c, np.int64) for c in zip(*mine))) if mine else np.arange(len(own))
         assert (got == want).all()
 
 

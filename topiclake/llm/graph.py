@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,3 +44,17 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
             break
         before = after
     return edges.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
+
+
+def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest index each of n nodes is joined to by the edges a-b."""
+    label = np.arange(n)
+    while len(a):
+        least = np.minimum(label[a], label[b])
+        before = label.copy()
+        np.minimum.at(label, a, least)
+        np.minimum.at(label, b, least)
+        label = label[label]
+        if (label == before).all():
+            break
+    return label

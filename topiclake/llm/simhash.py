@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topiclake.llm.common import FILE, ROW, located, table, without
-from topiclake.llm.graph import components
+from topiclake.llm.graph import components, forest
 from topiclake.llm.registry import query
 from topiclake.session import written_table
 
@@ -135,20 +135,6 @@ def replicate(fps: DataFrame) -> DataFrame:
     return fps.mapInArrow(run, "anchor long, fp long")
 
 
-def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest index each of n nodes is joined to by the edges a-b."""
-    label = np.arange(n)
-    while len(a):
-        least = np.minimum(label[a], label[b])
-        before = label.copy()
-        np.minimum.at(label, a, least)
-        np.minimum.at(label, b, least)
-        label = label[label]
-        if (label == before).all():
-            break
-    return label
-
-
 def _near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x ^ y) <= THRESHOLD
 
@@ -197,7 +183,7 @@ def links_of_groups(anchor: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np
         i, j = _pairs_of_group(fps[start:start + size])
         a.append(i + start)
         b.append(j + start)
-    label = _forest(len(fps), np.concatenate(a), np.concatenate(b))
+    label = forest(len(fps), np.concatenate(a), np.concatenate(b))
     tied = np.flatnonzero(label != np.arange(len(fps)))
     pairs = np.unique(np.stack([fps[tied], fps[label[tied]]], axis=1), axis=0)
     return pairs[:, 0], pairs[:, 1]
