@@ -7,28 +7,19 @@ from topiclake.llm import quality
 
 def test_folded_model_equals_the_network():
     rng = np.random.default_rng(0)
-    share = rng.normal(size=quality.BUCKETS)
-    model, text = quality.Model(share, 0.3), "one two two thrée\nfour " * 3
-    ids, counts = quality.document_features(text, quality.Vocabulary())
-    want = 1 / (1 + np.exp(-(share[ids] @ counts / counts.sum() + 0.3)))
-    assert abs(model.score(text, model.reader()) - want) < 1e-12
+    model = quality.Model(rng.normal(size=quality.BUCKETS), 0.3)
+    texts = ["one two two thrée\nfour " * 3, None, "x x x", "other words here"]
+    for text, got in zip(texts, model.scores(texts)):
+        ids, counts = quality.document_features(text)
+        mean = model.share[ids] @ counts / max(counts.sum(), 1)
+        assert abs(got - 1 / (1 + np.exp(-mean - 0.3))) < 1e-12
 
 
 def test_features():
-    ids, counts = quality.document_features("ab ab cd", quality.Vocabulary())
+    ids, counts = quality.document_features("ab ab cd")
     assert counts[ids == quality.REPEAT] == [1]
-    assert counts.sum() == 1 + 3 * len(quality.word_features(b"ab"))
-    assert len(quality.document_features(None, quality.Vocabulary())[0]) == 0
-
-
-def test_vocabulary_forgets_when_full(monkeypatch):
-    monkeypatch.setattr(quality, "CACHE_WORDS", 3)
-    model = quality.Model(np.arange(quality.BUCKETS) / 1e5, 0.0)
-    vocabulary = model.reader()
-    for n in range(20):
-        text = f"w{n} w{n + 1} x"
-        assert model.score(text, vocabulary) == model.score(text, model.reader())
-    assert len(vocabulary) <= 6
+    assert counts.sum() == 1 + 3 * (1 + 2 + 1)
+    assert len(quality.document_features(None)[0]) == 0
 
 
 def test_held_out_quality(spark):

@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 
 from topiclake.llm.common import table
 from topiclake.llm.registry import query
+from topiclake.llm.words import grams, groups, numbered
 
 BUCKETS = 1 << 17
 WIDTH = 8
 SIZES = (3, 4, 5)
 REPEAT = 0  # bucket of the word bigram whose second word repeats the first
-CACHE_WORDS = 300_000
 MAX_TRAIN_ROWS = 4_000
 EPOCHS = 8
 RATE = 2.0
@@ -26,44 +26,23 @@ ACCEPT = 0.7
 FOLDS, HELD = 4, 2
 
 
-def word_features(word: bytes) -> np.ndarray:
-    """Buckets of a word and of its character n-grams, with marks at both ends."""
-    text = "<" + word.decode("utf-8", "replace") + ">"
-    grams = [text[i:i + n] for n in SIZES for i in range(len(text) - n + 1)]
-    return np.array([zlib.crc32(g.encode("utf-8", "replace")) for g in (word.decode("utf-8", "replace"), *grams)],
-                    np.int64) % (BUCKETS - 1) + 1
+def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, number of the word) of the words themselves and of their character n-grams, in word order."""
+    whole = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.int64, len(words)) % (BUCKETS - 1)
+    parts, owner = grams(words, SIZES, BUCKETS - 1)
+    owners = np.concatenate([np.arange(len(words)), owner])
+    order = np.argsort(owners, kind="stable")
+    return np.concatenate([whole, parts])[order] + 1, owners[order]
 
 
-class Vocabulary(dict):
-    """Numbers words as they come and keeps what `measure` says of each; forgets all when it is full."""
-
-    def __init__(self, measure=word_features):
-        super().__init__()
-        self.measure, self.known = measure, []
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self.known)
-        self.known.append(self.measure(word))
-        return number
-
-    def numbers(self, text: str | None) -> np.ndarray:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-            self.known.clear()
-        words = (text or "").encode("utf-8", "surrogatepass").split()
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-
-
-def document_features(text: str | None, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+def document_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """A document's distinct buckets and how often each occurs."""
-    numbers = vocabulary.numbers(text)
-    seen, times = np.unique(numbers, return_counts=True)
-    buckets = [vocabulary.known[n] for n in seen]
-    repeats = int((numbers[1:] == numbers[:-1]).sum())
-    ids = np.concatenate([*buckets, np.array([REPEAT] * (repeats > 0), np.int64)])
-    counts = np.concatenate([np.repeat(times, [len(b) for b in buckets]), np.array([repeats] * (repeats > 0), np.int64)])
-    ids, back = np.unique(ids, return_inverse=True)
-    return ids, np.bincount(back, weights=counts, minlength=len(ids))
+    rows, words = numbered([text.split() if text else []])
+    buckets, owner = word_features(words)
+    counts = np.bincount(buckets, weights=np.bincount(rows, minlength=len(words))[owner], minlength=BUCKETS)
+    counts[REPEAT] = (rows[1:] == rows[:-1]).sum()
+    ids = np.flatnonzero(counts)
+    return ids, counts[ids]
 
 
 @dataclass
@@ -74,23 +53,23 @@ class Model:
     share: np.ndarray
     bias: float
 
-    def reader(self) -> Vocabulary:
-        """A vocabulary that keeps each word's summed share and number of features."""
-
-        def measure(word: bytes) -> tuple[float, int]:
-            ids = word_features(word)
-            return float(self.share[ids].sum()), len(ids)
-
-        return Vocabulary(measure)
-
-    def score(self, text: str | None, vocabulary: Vocabulary) -> float:
-        """The probability of label 1; a text without words has the bias alone."""
-        numbers = vocabulary.numbers(text)
-        seen, times = np.unique(numbers, return_counts=True)
-        repeats = int((numbers[1:] == numbers[:-1]).sum())
-        known = np.array([vocabulary.known[n] for n in seen]).reshape(-1, 2)
-        total, count = times @ known + np.array([self.share[REPEAT] * repeats, repeats])
-        return float(1 / (1 + np.exp(-np.clip(total / max(count, 1) + self.bias, -60, 60))))
+    def scores(self, texts: Iterable[str | None]) -> np.ndarray:
+        """The probability of label 1 for each text; one without words has the bias alone.
+
+        Words are looked up once for a group of texts, so memory is bounded by the group."""
+        out = []
+        for group in groups(texts):
+            rows, words = numbered(group)
+            buckets, owner = word_features(words)
+            share = np.bincount(owner, weights=self.share[buckets], minlength=len(words))
+            size = np.bincount(owner, minlength=len(words))
+            document = np.repeat(np.arange(len(group)), [len(w) for w in group])
+            again = document[1:][(rows[1:] == rows[:-1]) & (document[1:] == document[:-1])]
+            repeats = np.bincount(again, minlength=len(group))
+            total = np.bincount(document, weights=share[rows], minlength=len(group)) + repeats * self.share[REPEAT]
+            count = np.bincount(document, weights=size[rows], minlength=len(group)) + repeats
+            out.append(1 / (1 + np.exp(-np.clip(total / np.maximum(count, 1) + self.bias, -60, 60))))
+        return np.concatenate(out) if out else np.zeros(0)
 
 
 def train(examples: list[tuple[int, np.ndarray, np.ndarray]], *, epochs: int = EPOCHS, rate: float = RATE, seed: int = 1) -> Model:
@@ -153,9 +132,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", max_rows:
     sample = labelled_sample(docs, labels.filter(~held_out()), label, max_rows)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary()
         for batch in batches:
-            found = [document_features(t.as_py(), vocabulary) for t in batch.column("text")]
+            found = [document_features(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("y").cast(pa.int32()),
                  pa.array([i.astype("<i4").tobytes() for i, _ in found], pa.binary()),
@@ -174,10 +152,9 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     kind = docs.select("doc_id").schema.add("score", "double")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = model.reader()
         for batch in batches:
-            scores = [model.score(t.as_py(), vocabulary) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
+            scores = model.scores(t.as_py() for t in batch.column("text"))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], names=["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, kind)
 
@@ -186,9 +163,8 @@ def accepted(docs: DataFrame, model: Model, least: float = ACCEPT) -> DataFrame:
     """The documents that score `least` or more, all columns unchanged."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = model.reader()
         for batch in batches:
-            yield batch.filter(pa.array([model.score(t.as_py(), vocabulary) >= least for t in batch.column("text")], pa.bool_()))
+            yield batch.filter(pa.array(model.scores(t.as_py() for t in batch.column("text")) >= least))
 
     return docs.mapInArrow(run, docs.schema)
 

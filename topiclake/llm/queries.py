@@ -1,4 +1,4 @@
 """All corpus queries: importing the operators registers them."""
 
-from topiclake.llm import embedding_dedup, exact_dedup, mixing, packing, quality, simhash, substring_dedup  # noqa: F401
+from topiclake.llm import embedding_dedup, exact_dedup, mixing, packing, quality, simhash, substring_dedup, toxicity  # noqa: F401
 from topiclake.llm.registry import ORACLES, QUERIES  # noqa: F401
