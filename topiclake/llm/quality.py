@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from topiclake.llm.common import table
 from topiclake.llm.registry import query
 from topiclake.llm.words import grams, groups, numbered
+from topiclake.session import written_table
 
 BUCKETS = 1 << 17
 WIDTH = 8
@@ -141,9 +142,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", max_rows:
                 names=["doc_id", "y", "ids", "counts"])
 
     kind = sample.select("doc_id").schema.add("y", "integer").add("ids", "binary").add("counts", "binary")
-    rows = sorted(sample.mapInArrow(run, kind).collect(), key=lambda r: (r["doc_id"], r["ids"]))
-    return train([(r["y"], np.frombuffer(r["ids"], "<i4").astype(np.int64),
-                   np.frombuffer(r["counts"], "<f4").astype(np.float64)) for r in rows])
+    counted = written_table(sample.mapInArrow(run, kind), "features")  # then fetched a partition at a time
+    rows = sorted(counted.toLocalIterator(), key=lambda r: (r["doc_id"], r["ids"]))
+    return train([(r["y"], np.frombuffer(r["ids"], "<i4"), np.frombuffer(r["counts"], "<f4")) for r in rows])
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
