@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from topiclake.operators import monitor
@@ -49,3 +51,13 @@ def test_lag_and_pending(spark):
     assert [tuple(r) for r in monitor.top_lag(lag, 1).collect()] == [("t", 3)]
     pending = {r["topic"]: (r["pending_bytes"], r["usage_ratio"]) for r in monitor.pending_bytes(records, commits, 60).collect()}
     assert pending == {"t": (6, 0.1), "u": (3, 0.05), None: (9, 0.15)}
+
+
+def test_increase_equals_plain_windows(spark):
+    rng = random.Random(5)
+    rows = [(k, rng.randint(-50, 400), None if rng.random() < 0.1 else rng.randint(0, 99)) for k in "ab" for _ in range(300)]
+    samples = spark.createDataFrame(rows, "k string, s long, v long").select("k", F.timestamp_seconds("s").alias("at"), "v", "s")
+    for r in monitor.alert_increase(samples, "k", "at", "v", 30, 40).collect():
+        near = [v for k, s, v in rows if k == r.k and r.s - 30 <= s <= r.s and v is not None]
+        assert r.increase == (max(near) - min(near) if near else None)
+        assert r.firing == (None if r.increase is None else r.increase > 40)

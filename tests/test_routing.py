@@ -101,3 +101,27 @@ def test_latest_state_and_dedup(spark, monkeypatch):
     for small in (True, False):
         monkeypatch.setattr(ranges, "is_small", lambda df: small)
         assert sorted(tuple(r)[2:] for r in ranges.dedup_offsets(records).collect()) == [(1, "a", 9), (2, None, 1)]
+
+
+def test_versions_without_a_time_never_apply(spark, monkeypatch):
+    versions = spark.createDataFrame([("t", 7, "CHANGED", None), ("t", 8, "CHANGED", 100)], "topic string, version int, change string, s long")
+    versions = versions.select("topic", "version", "change", F.timestamp_seconds("s").alias("updated_at"))
+    records = spark.createDataFrame([("t", 50), ("t", 150)], "topic string, s long").select("topic", F.timestamp_seconds("s").alias("timestamp"))
+    for most in (1000, 0):
+        monkeypatch.setattr(routing, "BROADCAST_VERSIONS", most)
+        assert [r.version for r in routing.config_in_force(records, versions).orderBy("timestamp").collect()] == [None, 8]
+
+
+def test_patterns_that_compile_alone_match_nothing(spark):
+    patterns = [r"\Qabc", "(?x)abc # note", "abc.*", ".*c", "a|abc"]
+    configs = spark.createDataFrame([(n, p, "REGEX") for n, p in enumerate(patterns)], "id long, topic_name string, match_type string")
+    topics = spark.createDataFrame([("abc",), ("xc",), ("none",)], "topic string")
+    assert {r.topic: r.id for r in routing.match_topics(topics, configs).collect()} == {"abc": 2, "xc": 3}
+
+
+def test_records_without_a_position_are_all_kept(spark, monkeypatch):
+    rows = [(None, None, None, "bad"), (None, None, None, "bad"), ("t", 0, 1, "b"), ("t", 0, 1, "a")]
+    records = spark.createDataFrame(rows, "topic string, partition int, offset long, value string")
+    for small in (True, False):
+        monkeypatch.setattr(ranges, "is_small", lambda df, small=small: small)
+        assert sorted(r.value for r in ranges.dedup_offsets(records).collect()) == ["a", "bad", "bad"]

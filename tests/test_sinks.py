@@ -51,9 +51,9 @@ A = '{"fields":[{"name":"id","type":"LONG","nullable":false},{"name":"dt","type"
 B = '{"fields":[{"name":"id","type":"INT"}]}'
 
 
-@pytest.mark.parametrize("stage_above", [0, 9])
-def test_fan_out_lands_every_record_once(spark, tmp_path, monkeypatch, stage_above):
-    monkeypatch.setattr(sinks, "STAGE_ABOVE", stage_above)
+@pytest.mark.parametrize("checked", [1, 100])
+def test_fan_out_lands_every_record_once(spark, tmp_path, monkeypatch, checked):
+    monkeypatch.setattr(sinks, "CHECKED", checked)
     configs = spark.createDataFrame([
         (1, "a", "EXACT", A, "PARQUET", "/w/a/dt={dt}/{hour}", "s", "ZSTD"),
         (2, "b_.*", "REGEX", B, "CSV", "/w/b/{topic}", None, "GZIP"),
@@ -76,13 +76,37 @@ def test_fan_out_lands_every_record_once(spark, tmp_path, monkeypatch, stage_abo
     assert [r["offset"] for r in routing.unmatched(df, matched).collect()] == [8]
 
 
-def test_exact_paths(spark, tmp_path, monkeypatch):
-    df = spark.createDataFrame([(1, "/x/2026-01-01"), (2, "/x/2026-01-02")], "id bigint, path string")
-    assert sinks.write_exact_paths(df, str(tmp_path), "PARQUET", "SNAPPY")
-    assert spark.read.parquet(str(tmp_path / "x" / "2026-01-02")).first()["id"] == 2
-    monkeypatch.setattr(sinks, "MAX_PATH_WRITES", 1)
-    assert not sinks.write_exact_paths(df, str(tmp_path / "n"), "PARQUET", "SNAPPY")
-    assert not Path(tmp_path / "n").exists()
+def test_topics_under_one_root(spark, tmp_path):
+    """Many settings that share a root land every record once."""
+    schema = '{"fields":[{"name":"id","type":"LONG"},{"name":"f%d","type":"STRING"}]}'
+    configs = spark.createDataFrame([(n, f"t{n}", "EXACT", schema % n, "PARQUET", "/lake/{topic}/{date}", None, "SNAPPY")
+                                     for n in range(20)], CONFIG_DDL)
+    df = spark.range(4000).select(
+        F.concat(F.lit("t"), (F.col("id") % 20).cast("string")).alias("topic"), F.lit(0).alias("partition"),
+        F.col("id").alias("offset"), F.lit("2026-03-22 14:05:30").cast("timestamp").alias("timestamp"),
+        F.to_json(F.struct("id")).alias("value"))
+    root = str(tmp_path)
+    sinks.fan_out(routing.route(df, routing.match_topics(df, configs)), configs, root, root + "/bad")
+    landed = spark.read.option("mergeSchema", "true").parquet(root + "/lake")
+    assert landed.count() == 4000 and landed.agg(F.count_distinct("id"), F.count_distinct("topic")).first()[:] == (4000, 20)
+
+
+def test_fan_out_of_nothing(spark, tmp_path):
+    for n in (1, 3):
+        configs = spark.createDataFrame([(i, f"t{i}", "EXACT", B, "PARQUET", f"/l{i}/{{date}}", None, "SNAPPY") for i in range(n)], CONFIG_DDL)
+        df = spark.createDataFrame([], "topic string, partition int, offset bigint, timestamp timestamp, value string")
+        sinks.fan_out(routing.route(df, routing.match_topics(df, configs)), configs, str(tmp_path), f"{tmp_path}/bad{n}")
+        assert not list(Path(tmp_path).rglob("l*/**/part-*[0-9].parquet"))
+
+
+def test_exact_paths(spark, tmp_path):
+    df = spark.range(300).select("id", F.concat(F.lit("/x=1/a b:c/"), (F.col("id") % 100).cast("string")).alias("path"))
+    for _ in range(2):
+        sinks.write_exact_paths(df, str(tmp_path), "PARQUET", "SNAPPY")
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["x=1"]
+    assert len(list((tmp_path / "x=1" / "a b:c").iterdir())) == 100
+    got = [r["id"] for r in spark.read.parquet(str(tmp_path / "x=1" / "a b:c" / "7")).collect()]
+    assert sorted(got) == [7, 7, 107, 107, 207, 207]
 
 
 def test_compact_and_versions(spark, tmp_path):

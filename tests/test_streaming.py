@@ -122,3 +122,26 @@ def test_stream_dedup(spark, tmp_path):
              .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start())
     query.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "o")).count() == 10
+
+
+def test_refused_configurations_leave_the_others_alone(spark, place):
+    good = (1, "t_.*", "REGEX", SCHEMA, "parquet", "/t/{topic}/{date}", None, None, "ACTIVE", 1)
+    bad = [("no json", "{", "PARQUET", "SNAPPY"), ("codec", SCHEMA, "PARQUET", "LZ4"), ("csv", SCHEMA, "CSV", "SNAPPY"),
+           ("format", SCHEMA, "ORC", "SNAPPY"), ("\\Qabc", SCHEMA, "PARQUET", "SNAPPY"), ("other", None, "PARQUET", "SNAPPY")]
+    rows = [good, *[(n, name, "REGEX" if name[0] == "\\" else "EXACT", schema, fmt, "/t", None, codec, "ACTIVE", 1)
+                    for n, (name, schema, fmt, codec) in enumerate(bad, 2)]]
+    spark.createDataFrame(rows, DDL).coalesce(1).write.mode("overwrite").parquet(str(place / "configs"))
+    job(place).run_available(spark, str(place / "in"))
+    assert landed(spark, place) == list(range(40))
+    refused = spark.read.parquet(str(place / "out/config_errors")).collect()
+    assert sorted(r["id"] for r in refused) == [2, 3, 4, 5, 6, 7] and all(r["errors"] for r in refused)
+    assert [r["topic"] for r in spark.read.parquet(str(place / "out/unmatched")).collect()] == ["other"]
+
+
+def test_a_stream_leaves_no_scratch(spark, place):
+    from pathlib import Path
+
+    from topiclake.session import shared_dir
+    before = set(Path(shared_dir(spark).removeprefix("file:")).glob("routed-*"))
+    job(place).run_available(spark, str(place / "in"))
+    assert set(Path(shared_dir(spark).removeprefix("file:")).glob("routed-*")) == before

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topiclake import constants as C
-from topiclake.operators.routing import compiles
+from topiclake.operators.routing import compiles, whole
 from topiclake.operators.running import Running, offset_block, running
 from topiclake.session import written_table
 
@@ -76,11 +76,11 @@ def schema_errors(schema_json: Column) -> Column:
     )
 
 
-def config_errors(strict: bool = False) -> Column:
+def config_errors(strict: bool = False, codecs: tuple[str, ...] = tuple(C.VALIDATED_CODECS)) -> Column:
     """Messages about a configuration row, in check order.
 
-    `strict` adds what the documented rules leave open: the match type, the byte threshold, and codecs
-    CSV cannot use.
+    `strict` adds what the documented rules leave open: the match type, patterns that compile alone only,
+    the byte threshold, and codecs CSV cannot use.
     """
     name, path = F.col("topic_name"), F.col("sink_path")
     exact = F.col("match_type") == "EXACT"
@@ -95,8 +95,7 @@ def config_errors(strict: bool = False) -> Column:
         F.when(F.length("description") > C.MAX_DESCRIPTION, f"description exceeds max length {C.MAX_DESCRIPTION}"),
         F.when(_outside(F.col("sink_format"), C.SINK_FORMATS),
                f"sinkFormat must be one of: {_listed(C.SINK_FORMATS)}"),
-        F.when(_outside(F.col("compression"), C.VALIDATED_CODECS),
-               f"compression must be one of: {_listed(C.VALIDATED_CODECS)}"),
+        F.when(_outside(F.col("compression"), list(codecs)), f"compression must be one of: {_listed(codecs)}"),
         F.when(F.col("flush_rows") <= 0, "flushRows must be > 0"),
         F.when(F.col("flush_interval_sec") <= 0, "flushIntervalSec must be > 0"),
     ]
@@ -105,12 +104,32 @@ def config_errors(strict: bool = False) -> Column:
             F.when(_outside(F.col("match_type"), C.MATCH_TYPES),
                    f"matchType must be one of: {_listed(C.MATCH_TYPES)}"),
             F.when(F.col("flush_bytes") <= 0, "flushBytes must be > 0"),
-            F.when((F.col("sink_format") == "CSV") & (F.col("compression") == "SNAPPY"),
-                   "compression SNAPPY is not available for CSV"),
+            F.when((F.col("sink_format") == "CSV") & _outside(F.col("compression"), C.CSV_CODECS),
+                   F.concat(F.lit("compression "), F.col("compression"), F.lit(" is not available for CSV"))),
+            F.when((F.col("match_type") == "REGEX") & regex_error(name).isNull() & ~compiles(whole(name)),
+                   "topicName (REGEX) cannot match a whole topic"),
         ]
     return F.concat(F.array_compact(F.array(*checks)), schema_errors(F.col("schema_json")))
 
 
+def with_defaults(configs: DataFrame) -> DataFrame:
+    """Format and codec in capitals, Parquet and Snappy (CSV: none) where they are missing."""
+    sink_format = F.coalesce(F.upper("sink_format"), F.lit("PARQUET"))
+    codec = F.coalesce(F.upper("compression"), F.when(sink_format == "CSV", "NONE").otherwise("SNAPPY"))
+    return configs.withColumns({"sink_format": sink_format, "compression": codec})
+
+
+def checked_configs(configs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The configurations ingestion can use, and the others with their `errors`."""
+    full = with_defaults(configs)
+    for name, kind in (("description", "string"), ("flush_rows", "int"), ("flush_bytes", "bigint"), ("flush_interval_sec", "int")):
+        if name not in full.columns:
+            full = full.withColumn(name, F.lit(None).cast(kind))
+    judged = full.withColumn("errors", config_errors(True, tuple(C.PARQUET_CODECS)))
+    usable = judged.filter(F.size("errors") == 0).select(*configs.columns)
+    return usable, judged.filter(F.size("errors") > 0).select(*configs.columns, "errors")
+
+
 def validate(configs: DataFrame, strict: bool = False) -> DataFrame:
     return configs.withColumn("errors", config_errors(strict))
 

@@ -163,18 +163,30 @@ def alert_hold(samples: DataFrame, key: str, at: str, breach: Column, hold_sec:
 def alert_increase(samples: DataFrame, key: str, at: str, counter: str, window_sec: int, limit: float) -> DataFrame:
     """Samples with the counter's increase over the look-back window and whether it exceeds `limit`.
 
-    A window over a whole series would put it in one task. Samples are instead windowed inside time
-    blocks one look-back long, each holding a copy of the block before it.
+    Linear in the samples, and no window over a whole series: time is cut into blocks one look-back
+    long, so a sample's window is the start of its own block, up to the sample, and the end of the
+    block before, from the first sample that is not too old. Running extremes in both directions give
+    the two parts, and the first sample of the earlier block is looked up as-of.
     """
     micros = window_sec * 1_000_000
     t = F.unix_micros(at)
-    block = F.floor(t / micros).cast("bigint")
-    copies = samples.withColumn("__t", t).select(
-        "*", block.alias("__own"), F.explode(F.array(block, block + 1)).alias("__in"))
-    frame = W.partitionBy(key, "__in").orderBy("__t").rangeBetween(-micros, 0)
-    rise = F.max(counter).over(frame) - F.min(counter).over(frame)
-    seen = copies.withColumn("increase", rise).filter("__own = __in")
-    return seen.withColumn("firing", F.col("increase") > limit).drop("__t", "__own", "__in")
+    marked = samples.withColumn("__t", t).withColumn("__block", F.floor(F.col("__t") / micros).cast("bigint"))
+    block = W.partitionBy(key, "__block")
+    upto = block.orderBy("__t").rangeBetween(W.unboundedPreceding, 0)
+    onward = block.orderBy(F.desc("__t")).rangeBetween(W.unboundedPreceding, 0)
+    ends = marked.withColumns({
+        "__own": F.struct(F.max(counter).over(upto).alias("high"), F.min(counter).over(upto).alias("low")),
+        "__later": F.struct(F.max(counter).over(onward).alias("high"), F.min(counter).over(onward).alias("low"))})
+    # Each sample stands in its own block and, a look-back later, in the next one as what still counts there.
+    here = F.struct(F.col("__block").alias("in"), F.col("__t").alias("pos"), F.lit(1).alias("asks"))
+    next_ = F.struct((F.col("__block") + 1).alias("in"), (F.col("__t") + micros).alias("pos"), F.lit(0).alias("asks"))
+    both = ends.withColumn("__at", F.explode(F.array(here, next_))).select("*", "__at.*").drop("__at")
+    back = W.partitionBy(key, "in").orderBy(F.desc("pos"), "asks").rowsBetween(W.unboundedPreceding, 0)
+    reached = F.last(F.when(F.col("asks") == 0, F.col("__later")), ignorenulls=True).over(back)
+    seen = both.withColumn("__before", reached).filter("asks = 1")
+    rise = F.greatest("__own.high", "__before.high") - F.least("__own.low", "__before.low")
+    return seen.withColumn("increase", rise).withColumn("firing", F.col("increase") > limit).drop(
+        "__t", "__block", "__own", "__later", "in", "pos", "asks", "__before")
 
 
 def file_size_audit(listing: DataFrame) -> DataFrame:

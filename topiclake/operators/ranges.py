@@ -89,15 +89,18 @@ def offset_audit(ranges: DataFrame) -> DataFrame:
 def dedup_offsets(records: DataFrame) -> DataFrame:
     """One record per (topic, partition, offset); of several, the one with the smallest value.
 
-    Replays are few, so the repeated positions are found first on the narrow key columns alone. While
-    they are small enough to broadcast, only the repeated records are shuffled whole and all others
-    pass straight through; otherwise every record is grouped. Copies collapse map-side either way.
+    Records without a complete position are no replays of one another and are all kept. Replays are few,
+    so the repeated positions are found first on the narrow key columns alone. While they are small
+    enough to broadcast, only the repeated records are shuffled whole and all others pass straight
+    through; otherwise every record is grouped. Copies collapse map-side, and the rows are the same,
+    either way.
     """
     keys = [*KEYS, "offset"]
-    counts = records.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    placed = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    counts = records.filter(placed).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     repeated = written_table(counts.filter("n > 1").select(*keys), "repeated-offsets")
     if not is_small(repeated):
-        return _smallest(records, keys)
+        return _smallest(records.filter(placed), keys).unionByName(records.filter(f"NOT ({placed})"))
     again = records.join(F.broadcast(repeated), keys, "left_semi").select(*records.columns)
     once = records.join(F.broadcast(repeated), keys, "left_anti").select(*records.columns)
     return once.unionByName(_smallest(again, keys))

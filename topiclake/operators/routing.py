@@ -26,22 +26,33 @@ def literal_prefix(pattern: Column) -> Column:
     return F.when(F.contains(pattern, F.lit("|")), F.lit("")).otherwise(F.left(head, F.lit(C.MAX_REGEX)))
 
 
+def whole(pattern: Column) -> Column:
+    """The pattern as it is matched: against the whole topic."""
+    return F.concat(F.lit("^(?:"), pattern, F.lit(r")\z"))
+
+
 def full_match(topic: Column, pattern: Column) -> Column:
-    return F.rlike(topic, F.concat(F.lit("^(?:"), pattern, F.lit(r")\z")))
+    return F.rlike(topic, whole(pattern))
 
 
 def _candidates(topics: DataFrame, patterns: DataFrame) -> DataFrame:
     """(topic, pattern id) pairs that match, found by an equi-join on the pattern's literal prefix.
 
-    Of several configurations with one pattern only the lowest id can win, so they are merged first.
+    Of several configurations with one pattern only the lowest id can win, so they are merged first. Text
+    that compiles alone but not when it has to match a whole topic, such as an unclosed quotation, matches
+    nothing. Patterns without a literal start would meet every topic under one key; they are few and short,
+    so they are broadcast instead where their size allows, and topics are cut at the lengths that occur only.
     """
     unique = patterns.groupBy(F.col("topic_name").alias("pattern")).agg(F.min("id").alias("id"))
-    keyed = unique.filter(compiles(F.col("pattern"))).withColumn("prefix", literal_prefix(F.col("pattern")))
-    lengths = F.sequence(F.lit(0), F.least(F.length("topic"), F.lit(C.MAX_REGEX)))
-    prefixes = topics.select("topic", F.explode(lengths).alias("n")).select(
-        "topic", F.expr("left(topic, n)").alias("prefix")
-    )
-    return prefixes.join(keyed, "prefix").filter(full_match(F.col("topic"), F.col("pattern"))).select("topic", "id")
+    keyed = unique.filter(compiles(F.col("pattern")) & compiles(whole(F.col("pattern")))).withColumn(
+        "prefix", literal_prefix(F.col("pattern")))
+    matches = full_match(F.col("topic"), F.col("pattern"))
+    anywhere = topics.join(broadcast_if_small(keyed.filter("prefix = ''").select("pattern", "id")), matches)
+    started = keyed.filter("prefix <> ''").withColumn("n", F.length("prefix"))
+    lengths = F.broadcast(started.select("n").distinct())  # at most MAX_REGEX numbers
+    prefixes = topics.join(lengths, F.length("topic") >= F.col("n")).select("topic", F.expr("left(topic, n)").alias("prefix"))
+    found = prefixes.join(started, "prefix").filter(matches)
+    return found.select("topic", "id").unionByName(anywhere.select("topic", "id"))
 
 
 def match_topics(topics: DataFrame, configs: DataFrame) -> DataFrame:
@@ -113,11 +124,11 @@ def effective_at() -> Column:
 def config_in_force(records: DataFrame, versions: DataFrame) -> DataFrame:
     """Records with the `version` of their topic's configuration in force at the record's time.
 
-    `versions` has topic, version, change and updated_at. A version list of checked size, overall and
+    `versions` has topic, version, change and updated_at; one without a time never applies. A version list of checked size, overall and
     per topic, is broadcast with half-open validity intervals; a larger one is joined as-of, split by
     time block.
     """
-    starts = versions.withColumn("effective_at", effective_at())
+    starts = versions.withColumn("effective_at", effective_at()).filter("effective_at IS NOT NULL")
     starts = starts.groupBy("topic", "effective_at").agg(F.max("version").alias("version"))
     most = starts.groupBy("topic").count().agg(F.max("count")).first()[0] or 0
     if most <= BROADCAST_VERSIONS and is_small(starts):

@@ -31,6 +31,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def own_session(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session like `spark` with other settings, which no other user of `spark` sees."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    for key, value in settings.items():
+        own.conf.set(key, value)
+    return own
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder a job wrote for itself, on whatever file system it lies."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

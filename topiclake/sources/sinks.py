@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -15,9 +16,10 @@ from pyspark.sql import types as T
 
 from topiclake import constants as C
 from topiclake.functions.paths import escapes_root, local_time, sanitize, sanitize_present
+from topiclake.functions.casts import CORRUPT, cast_field, json_variants
 from topiclake.functions.schema import Field, parse_schema
-from topiclake.operators.parse import ROW, check_required, parse_json, valid_rows
-from topiclake.session import broadcast_if_small, scratch_path
+from topiclake.operators.parse import REASON, ROW, parse_json
+from topiclake.session import broadcast_if_small, own_session, remove_path, scratch_path
 
 CSV_OPTIONS = {
     "header": "true",
@@ -28,10 +30,9 @@ CSV_OPTIONS = {
     "encoding": "UTF-8",
 }
 ENVELOPE_COLUMNS = ["topic", "partition", "offset", "timestamp", "value"]
-MAX_PATH_WRITES = 64
-STAGE_ABOVE = 2
 WRITERS = 8
-QUARANTINE_CHUNK = 16
+CHECKED = 100  # settings whose reasons make up one expression
+PARSED = "__needed"
 
 
 def write_parquet(df: DataFrame, path: str, codec: str = "SNAPPY", *, mode: str = "append",
@@ -142,8 +143,10 @@ def _with_setting(routed: DataFrame, configs: DataFrame, settings: list[dict]) -
     return routed.join(broadcast_if_small(of_config), "config_id")
 
 
-def _directories(layout: Layout, names: set[str], at: str, tz: str | None, as_of: Column | None) -> dict[str, Column]:
-    """Directory columns of the parsed rows; `dt`, `hour` and `minute` prefer the message's own fields."""
+def _directories(layout: Layout, names: set[str], at: str, tz: str | None, as_of: Column | None,
+                 row: Column) -> dict[str, Column]:
+    """Directory columns of the parsed rows; `dt`, `hour` and `minute` prefer the message's own fields in `row`,
+    a typed or a VARIANT struct."""
     when = F.col(at)
     if as_of is not None:
         when = F.when(when > F.timestamp_seconds(F.lit(0)), when).otherwise(as_of)
@@ -151,7 +154,7 @@ def _directories(layout: Layout, names: set[str], at: str, tz: str | None, as_of
     values = {"topic": sanitize(F.col("topic")), "date": F.date_format(wall, "yyyy-MM-dd"),
               "partition": F.col("partition").cast("string")}
     for name, pattern in (("dt", "yyyy-MM-dd"), ("hour", "HH"), ("minute", "mm")):
-        own = [sanitize_present(F.col(ROW)[name].cast("string"))] if name in names else []
+        own = [sanitize_present(row[name].cast("string"))] if name in names else []
         values[name] = F.coalesce(*own, F.date_format(wall, pattern))
     columns = {}
     for name, pattern in layout.directories:
@@ -163,94 +166,136 @@ def _directories(layout: Layout, names: set[str], at: str, tz: str | None, as_of
     return columns
 
 
-def _staged(placed: DataFrame) -> DataFrame:
-    """The records written once, partitioned by setting: the source is then scanned once however many
-    settings there are, and each setting reads its own directory."""
-    spark = placed.sparkSession
-    path = scratch_path(spark, "routed")
-    placed.hint("rebalance", "__setting").write.partitionBy("__setting").parquet(path)
-    return spark.read.parquet(path)
+def _checks(settings: list[dict], at: str, tz: str | None, as_of: Column | None) -> tuple[list[Field], list[Column | None]]:
+    """The fields that decide about acceptance in any setting, and each setting's reason to reject."""
+    needed: dict[str, Field] = {}
+    reasons = []
+    for group in settings:
+        fields = parse_schema(group["schema_json"])
+        names = {f.name for f in fields}
+        for f in fields:
+            if not f.nullable or f.name in ("dt", "hour", "minute"):
+                needed.setdefault(f.name, f)
+        lacking = [F.when(cast_field(F.col(PARSED)[f.name], f.type).isNull(), F.lit(f.name)) for f in fields if not f.nullable]
+        reason = F.lit(None).cast("string")
+        if lacking:
+            missing = F.array_compact(F.array(*lacking))
+            reason = F.when(F.size(missing) > 0, F.concat(F.lit("missing required: "), F.concat_ws(",", missing)))
+        directories = _directories(layout_of(group["sink_path"]), names, at, tz, as_of, F.col(PARSED))
+        if directories:
+            unsafe = escapes_root(F.concat_ws("/", *directories.values()))
+            reason = F.coalesce(reason, F.when(unsafe, "resolved path contains '..'"))
+        reasons.append(reason)
+    return list(needed.values()), reasons
+
+
+def _staged(placed: DataFrame, settings: list[dict], path: str, at: str, tz: str | None, as_of: Column | None) -> DataFrame:
+    """The records written once, by setting and by whether they are accepted.
+
+    The source is scanned once however many settings there are, and each later write reads nothing but
+    its own directories. The reasons of up to CHECKED settings are one expression over one parse of
+    the fields they depend on; more settings are checked in turns over their own records.
+    """
+    spark, parts = placed.sparkSession, []
+    for begin in range(0, max(len(settings), 1), CHECKED):
+        chosen = settings[begin:begin + CHECKED]
+        needed, reasons = _checks(chosen, at, tz, as_of)
+        mine = placed if len(settings) <= CHECKED else placed.filter(F.col("__setting").between(begin, begin + CHECKED - 1))
+        # a generator of one element keeps Catalyst from repeating the parse
+        parsed = mine.select("*", F.explode(F.array(json_variants(F.col("value"), needed))).alias(PARSED))
+        reason = F.lit(None).cast("string")
+        for n, own in enumerate(reasons):
+            reason = F.when(F.col("__setting") == begin + n, own).otherwise(reason)
+        bad = F.col(PARSED).isNull() | F.col(PARSED)[CORRUPT].isNotNull()
+        empty = F.coalesce(F.col("value"), F.lit("")) == ""
+        parts.append(parsed.withColumn(REASON, F.when(empty, "empty or null record").when(bad, "not a JSON object").otherwise(reason)).drop(PARSED))
+    out = reduce(DataFrame.unionByName, parts).withColumn("__ok", F.isnull(REASON))
+    out.hint("rebalance", "__setting", "__ok").write.partitionBy("__setting", "__ok").parquet(path)
+    return spark.read.schema(out.schema).parquet(path)
 
 
 def fan_out(routed: DataFrame, configs: DataFrame, root: str, quarantine: str, *, mode: str = "append",
-            extra_partition: tuple[str, ...] = (), staged: bool = False, at: str = "timestamp",
-            tz: str | None = None, as_of: Column | None = None) -> None:
+            extra_partition: tuple[str, ...] = (), at: str = "timestamp", tz: str | None = None,
+            as_of: Column | None = None) -> None:
     """Write every routed record below `root` by its configuration's schema, format, codec and template.
 
     Directories below the static part of a template are Hive style (`date=2026-03-22`), so one write
     covers all dates of a configuration and readers prune on them. A file holds at most the
     configuration's flush_rows. Records that are no JSON object, lack a required field or resolve to a
-    path with `..` go to the `quarantine` table instead. `staged` says the caller already holds the
-    records in a cheap form; `at` names the column with the time to route by.
+    path with `..` go to the `quarantine` table instead, all in one write. `at` names the column with
+    the time to route by.
+
+    Configurations with equal sink settings share a write. Writes into one root follow one another,
+    since two jobs that append to a directory share its temporary folder; different roots are
+    written side by side.
     """
+    spark = routed.sparkSession
     settings = sink_settings(configs)
-    placed = _with_setting(routed, configs, settings)
-    if not staged and len(settings) > STAGE_ABOVE:
-        placed = _staged(placed)
-
-    writes, rejected = [], []
+    path = scratch_path(spark, "routed")
+    staged = _staged(_with_setting(routed, configs, settings), settings, path, at, tz, as_of)
+    by_root: dict[str, list] = {quarantine.rstrip("/"): []}
     for n, group in enumerate(settings):
-        mine = placed.filter(F.col("__setting") == n).drop("__setting")
         fields = parse_schema(group["schema_json"])
         names = {f.name for f in fields}
         layout = layout_of(group["sink_path"])
-        directories = _directories(layout, names, at, tz, as_of)
+        directories = _directories(layout, names, at, tz, as_of, F.col(ROW))
         kept = {c: c if c not in names else f"_{c}" for c in extra_partition}
 
-        good = valid_rows(_checked(mine, fields, fields, directories))
+        mine = staged.filter((F.col("__setting") == n) & F.col("__ok")).drop("__setting", "__ok", REASON)
         row = [F.col(ROW)[f.name].alias(f.name) for f in fields if f.name not in directories]
         row += [F.col(c).alias(k) for c, k in kept.items()]
-        out = good.select(*row, *[v.alias(k) for k, v in directories.items()])
+        out = parse_json(mine, fields).select(*row, *[v.alias(k) for k, v in directories.items()])
         by = [c.strip() for c in group["partition_by"].split(",") if c.strip() in names]
         partition_by = tuple(dict.fromkeys([*directories, *by, *kept.values()]))
         # Gather each directory in few tasks, or every task would leave a file in every directory; AQE
         # splits the directories that hold much and merges those that hold little.
         out = out.hint("rebalance", *partition_by) if partition_by else out
         target = layout.root if "://" in layout.root else root.rstrip("/") + layout.root
-        writes.append(partial(write_format, out, target, group["sink_format"], group["compression"], mode=mode,
-                              partition_by=partition_by, max_records=group["flush_rows"]))
-
-        # The rejected rows need only the fields their reasons depend on.
-        needed = [f for f in fields if not f.nullable or f.name in ("dt", "hour", "minute")]
-        bad = _checked(mine, needed, fields, directories).filter("reason IS NOT NULL")
-        rejected.append(bad.select(*ENVELOPE_COLUMNS, "reason", "config_id", *extra_partition))
+        by_root.setdefault(target.rstrip("/"), []).append(partial(
+            write_format, out, target, group["sink_format"], group["compression"], mode=mode,
+            partition_by=partition_by, max_records=group["flush_rows"]))
 
-    for n in range(0, len(rejected), QUARANTINE_CHUNK):
-        together = reduce(DataFrame.unionByName, rejected[n:n + QUARANTINE_CHUNK])
-        writes.append(partial(write_parquet, together.withColumn("chunk", F.lit(n)), quarantine, mode=mode,
-                              partition_by=(*extra_partition, "chunk")))
-    _run_all(routed.sparkSession, writes)
+    bad = staged.filter(~F.col("__ok")).select(*ENVELOPE_COLUMNS, REASON, "config_id", *extra_partition)
+    by_root[quarantine.rstrip("/")].append(partial(write_parquet, bad, quarantine, mode=mode, partition_by=tuple(extra_partition)))
+    _run_all(spark, list(by_root.values()))
+    remove_path(spark, path)
 
 
-def _checked(records: DataFrame, columns: list[Field], fields: list[Field], directories: dict[str, Column]) -> DataFrame:
-    """Parse `columns` and give every rejected record its reason."""
-    parsed = check_required(parse_json(records, columns), fields)
-    if not directories:
-        return parsed
-    unsafe = escapes_root(F.concat_ws("/", *directories.values()))
-    return parsed.withColumn("reason", F.coalesce("reason", F.when(unsafe, "resolved path contains '..'")))
+def _run_all(spark: SparkSession, series: list[list[Callable[[], None]]]) -> None:
+    """Run each series of writes in its order, and independent series side by side."""
 
+    def run(writes):
+        for write in writes:
+            write()
 
-def _run_all(spark: SparkSession, writes: list[Callable[[], None]]) -> None:
-    """Run independent writes side by side, so that many small topics do not wait for one another."""
     with ThreadPoolExecutor(WRITERS) as pool:
-        for done in [pool.submit(inheritable_thread_target(spark)(w)) for w in writes]:
+        for done in [pool.submit(inheritable_thread_target(spark)(partial(run, w))) for w in series]:
             done.result()
 
 
-def write_exact_paths(rows: DataFrame, root: str, sink_format: str, codec: str, mode: str = "append") -> bool:
-    """Write rows carrying a resolved `path` into exactly those directories.
+def write_exact_paths(rows: DataFrame, root: str, sink_format: str, codec: str) -> None:
+    """Append rows carrying a resolved `path` to exactly those directories, however many there are.
 
-    One write per distinct path, so only for the few paths of a micro-batch: with more than
-    MAX_PATH_WRITES nothing is written and False tells the caller to use `fan_out` directories.
+    One partitioned write goes to a folder below `root`; its directories are then renamed into place,
+    file by file. File names are unique to the write, so a repeated call adds and never overwrites.
     """
-    paths = [r["path"] for r in rows.select("path").distinct().limit(MAX_PATH_WRITES + 1).collect()]
-    if len(paths) > MAX_PATH_WRITES:
-        return False
-    for path in sorted(paths):
-        write_format(rows.filter(F.col("path") == path).drop("path"), root.rstrip("/") + "/" + path.lstrip("/"),
-                     sink_format, codec, mode=mode)
-    return True
+    spark = rows.sparkSession
+    staging = f"{root.rstrip('/')}/_staging-{uuid.uuid4().hex}"
+    write_format(rows.hint("rebalance", "path"), staging, sink_format, codec, partition_by=("path",))
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    folder = hadoop.Path(staging)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for directory in files.listStatus(folder):
+        name = directory.getPath().getName()
+        if not name.startswith("path="):
+            continue
+        target = hadoop.Path(f"{root.rstrip('/')}/{unescape(name[len('path='):]).strip('/')}")
+        files.mkdirs(target)
+        for file in files.listStatus(directory.getPath()):
+            if not files.rename(file.getPath(), hadoop.Path(target, file.getPath().getName())):
+                raise OSError(f"could not move {file.getPath()} to {target}")
+    files.delete(folder, True)
 
 
 def compact(rows: DataFrame, path: str, *, partition_by: tuple[str, ...] = (), codec: str = "SNAPPY") -> None:
@@ -259,16 +304,13 @@ def compact(rows: DataFrame, path: str, *, partition_by: tuple[str, ...] = (), c
     Copies collapse map-side in the distinct aggregate; the rebalance lets AQE merge small and split
     large output partitions to the advisory size.
     """
-    spark = rows.sparkSession
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(2 * C.MIN_FILE_BYTES))
-    try:
-        distinct = rows.distinct()
-        spread = distinct.hint("rebalance", *partition_by) if partition_by else distinct.hint("rebalance")
-        write_parquet(spread, path, codec, mode="overwrite", partition_by=partition_by)
-    finally:
-        spark.conf.set(key, before)
+    spark, scratch = rows.sparkSession, scratch_path(rows.sparkSession, "distinct")
+    rows.distinct().write.parquet(scratch)
+    own = own_session(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(2 * C.MIN_FILE_BYTES)})
+    distinct = own.read.schema(rows.schema).parquet(scratch)
+    spread = distinct.hint("rebalance", *partition_by) if partition_by else distinct.hint("rebalance")
+    write_parquet(spread, path, codec, mode="overwrite", partition_by=partition_by)
+    remove_path(spark, scratch)
 
 
 def read_versions(spark: SparkSession, *paths: str) -> DataFrame:

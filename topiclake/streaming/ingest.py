@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from topiclake.functions.casts import payload_bytes
 from topiclake.operators import ranges, routing
-from topiclake.operators.control import config_diff
+from topiclake.operators.control import checked_configs, config_diff
 from topiclake.session import broadcast_if_small
 from topiclake.sources.envelope import stream_envelope
 from topiclake.sources.sinks import fan_out, write_parquet
@@ -54,7 +54,8 @@ def drop_replays(stream: DataFrame, delay: str) -> DataFrame:
 
 
 class IngestJob:
-    """Writes below `root`: data, quarantine, unmatched, manifest/<run>, metrics, configs, config_changes, runs."""
+    """Writes below `root`: data, quarantine, unmatched, manifest/<run>, metrics, configs, config_errors,
+    config_changes, runs."""
 
     def __init__(self, read_configs: Callable[[SparkSession], DataFrame], root: str, *, route: str = "record",
                  tz: str | None = None):
@@ -94,12 +95,17 @@ class IngestJob:
     def _pinned_configs(self, spark: SparkSession, batch: str) -> DataFrame:
         """The configuration snapshot of a batch: read once, kept, and reused when the batch is replayed.
 
-        One file, so that it is there whole or not at all.
+        One file, so that it is there whole or not at all; one task is enough for a table of settings.
+        Rows that fail validation are written to `config_errors`, and their topics count as unmatched.
         """
         pinned = self._of_batch(spark, "configs", batch)
         if pinned is None:
-            self._write(active_configs(self.read_configs(spark)).coalesce(1), "configs", batch)
+            usable, refused = checked_configs(active_configs(self.read_configs(spark)))
+            self._write(refused, "config_errors", batch)
+            self._write(usable.coalesce(1), "configs", batch)
             pinned = self._of_batch(spark, "configs", batch)
+        if pinned is None:  # no configuration at all: a table of none is no directory
+            pinned = checked_configs(self.read_configs(spark))[0].limit(0)
         return pinned
 
     def _config_changes(self, spark: SparkSession, configs: DataFrame, number: int, batch: str) -> None:
@@ -154,7 +160,7 @@ class IngestJob:
                 first = records.groupBy(*KEYS).agg(F.min_by("timestamp", "offset").alias("first_ts"))
                 routed, at = routed.join(broadcast_if_small(first), KEYS), "first_ts"
             fan_out(routed, configs, f"{self.root}/data", f"{self.root}/quarantine", mode="overwrite",
-                    extra_partition=("batch",), staged=True, at=at, tz=self.tz)
+                    extra_partition=("batch",), at=at, tz=self.tz, as_of=F.current_timestamp())
             self._write(
                 records.groupBy(*KEYS, "offset").agg(
                     F.count(F.lit(1)).alias("n"), F.sum(payload_bytes(F.col("value"))).alias("size"),
