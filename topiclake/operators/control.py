@@ -104,7 +104,7 @@ def config_errors(strict: bool = False, codecs: tuple[str, ...] = tuple(C.VALIDA
             F.when(_outside(F.col("match_type"), C.MATCH_TYPES),
                    f"matchType must be one of: {_listed(C.MATCH_TYPES)}"),
             F.when(F.col("flush_bytes") <= 0, "flushBytes must be > 0"),
-            F.when((F.col("sink_format") == "CSV") & _outside(F.col("compression"), C.CSV_CODECS),
+            F.when((F.col("sink_format") == "CSV") & F.col("compression").isin([c for c in codecs if c not in C.CSV_CODECS]),
                    F.concat(F.lit("compression "), F.col("compression"), F.lit(" is not available for CSV"))),
             F.when((F.col("match_type") == "REGEX") & regex_error(name).isNull() & ~compiles(whole(name)),
                    "topicName (REGEX) cannot match a whole topic"),

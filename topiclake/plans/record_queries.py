@@ -459,54 +459,93 @@ def clamp_offsets(spark, sf):
 
 # --- sinks -----------------------------------------------------------------------------------------
 
-@query("parquet_roundtrip", """
-SELECT l_orderkey, l_partkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag FROM lineitem""")
+@query("parquet_roundtrip", "SELECT * REPLACE (epoch_us(l_shipdate) AS l_shipdate) FROM lineitem")
 def parquet_roundtrip(spark, sf):
-    rows = table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag")
     path = scratch_path(spark, "parquet")
-    sinks.write_parquet(rows, path, "ZSTD")
-    return spark.read.parquet(path)
+    sinks.write_parquet(table(spark, sf, "lineitem"), path, "ZSTD")
+    return spark.read.parquet(path).withColumn("l_shipdate", F.unix_micros(F.col("l_shipdate").cast("timestamp")))
 
 
 @query("csv_roundtrip", """
-SELECT doc_id, text, CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN '' ELSE ' "' || lang || '", ' END AS note, n_chars FROM documents""")
+SELECT doc_id, text, CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN '' ELSE ' "' || lang || '", ' END AS note, n_chars, lang, source FROM documents""")
 def csv_roundtrip(spark, sf):
     note = F.expr("CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN '' ELSE ' \"' || lang || '\", ' END")
-    rows = table(spark, sf, "documents").select("doc_id", "text", note.alias("note"), "n_chars")
+    rows = table(spark, sf, "documents").select("doc_id", "text", note.alias("note"), "n_chars", "lang", "source")
     path = scratch_path(spark, "csv")
     sinks.write_csv(rows, path, "GZIP")
     return sinks.read_csv(spark, path, rows.schema)
 
 
+def _missing(**fields: str) -> str:
+    return "concat_ws(',', " + ", ".join(f"CASE WHEN {sql} IS NULL THEN '{name}' END" for name, sql in fields.items()) + ")"
+
+
+def _fields(sink: str, **columns: str) -> str:
+    """One sink's rows in the columns all sinks share: every declared field, none left out."""
+    kinds = {"n": "BIGINT", "x": "DOUBLE", "s": "VARCHAR"}
+    names = [f"{k}{i}" for k in kinds for i in (1, 2, 3)]
+    listed = ", ".join(f"{columns.get(n, f'CAST(NULL AS {kinds[n[0]]})')} AS {n}" for n in names)
+    return f"SELECT sink, strftime(ts, '%Y-%m-%d') AS date, {listed} FROM judged WHERE reason IS NULL AND sink = '{sink}'"
+
+
 FANNED = _objects("mixed_env") + f"""
-, landed AS (
- SELECT 'orders' AS sink, strftime(ts, '%Y-%m-%d') AS date, {_long('order_id')} AS key FROM objects WHERE topic = 'orders' AND j IS NOT NULL
- UNION ALL SELECT 'dev_stats', strftime(ts, '%Y-%m-%d'), {_long('device_id')} FROM objects WHERE topic = 'dev_stats' AND j IS NOT NULL
- UNION ALL SELECT 'monitor', strftime(ts, '%Y-%m-%d'), {_long('ts')} FROM objects WHERE topic = 'sys_monitor' AND j IS NOT NULL
- UNION ALL SELECT 'user_events', strftime(ts, '%Y-%m-%d'), {_long('uid')} FROM objects WHERE topic LIKE 'user_event_%' AND j IS NOT NULL AND {_long('uid')} IS NOT NULL)
-SELECT sink, date, count(*) AS records, CAST(sum(key) AS BIGINT) AS key_sum FROM landed GROUP BY sink, date"""
-
-
-def _landed(spark: SparkSession, root: str) -> DataFrame:
-    base, out = f"{root}/hdfs/kafka/data", None
-    for sink, key in (("orders", "order_id"), ("dev_stats", "device_id"), ("user_events", "uid"), ("monitor", "ts")):
-        if sink == "monitor":
-            rows = spark.read.options(**sinks.CSV_OPTIONS).csv(f"{base}/{sink}")
-        else:
-            rows = spark.read.parquet(f"{base}/{sink}")
-        part = rows.select(F.lit(sink).alias("sink"), F.col("date").cast("string").alias("date"),
-                           F.col(key).cast("bigint").alias("key"))
-        out = part if out is None else out.unionByName(part)
-    return out.groupBy("sink", "date").agg(F.count(F.lit(1)).alias("records"), F.sum("key").alias("key_sum"))
+, typed AS (SELECT *, CASE WHEN topic = 'orders' THEN 'orders' WHEN topic = 'dev_stats' THEN 'dev_stats'
+ WHEN topic = 'sys_monitor' THEN 'monitor' WHEN starts_with(topic, 'user_event_') THEN 'user_events' END AS sink FROM objects),
+judged AS (SELECT *, CASE WHEN coalesce(value, '') = '' THEN 'empty or null record' WHEN j IS NULL THEN 'not a JSON object'
+ ELSE nullif('missing required: ' || CASE sink
+  WHEN 'orders' THEN {_missing(order_id=_long('order_id'), user_id=_long('user_id'))}
+  WHEN 'dev_stats' THEN {_missing(device_id=_long('device_id'), metric_name=_text('metric_name'), ts=_long('ts'))}
+  WHEN 'monitor' THEN {_missing(host=_text('host'), ts=_long('ts'))}
+  WHEN 'user_events' THEN {_missing(uid=_long('uid'), event=_text('event'), ts=_long('ts'))} END, 'missing required: ') END AS reason FROM typed)
+{_fields('orders', n1=_long('order_id'), n2=_long('user_id'), x1=_double('amount'), s1=_text('status'), s2=_text('created_time'))}
+UNION ALL {_fields('dev_stats', n1=_long('device_id'), n2=_long('ts'), x1=_double('metric_value'), s1=_text('metric_name'))}
+UNION ALL {_fields('monitor', n1=_long('ts'), x1=_double('cpu_usage'), x2=_double('mem_usage'), x3=_double('disk_usage'), s1=_text('host'))}
+UNION ALL {_fields('user_events', n1=_long('uid'), n2=_long('duration_ms'), n3=_long('ts'), s1=_text('event'), s2=_text('page'), s3='topic')}
+UNION ALL SELECT 'quarantine', NULL, CAST(part AS BIGINT), off, epoch_us(ts) // 1000, NULL, NULL, NULL, topic, reason, value
+ FROM judged WHERE sink IS NOT NULL AND reason IS NOT NULL
+UNION ALL SELECT 'unmatched', NULL, CAST(part AS BIGINT), count(*), CAST(sum(off) AS BIGINT), NULL, NULL, NULL, topic, NULL, NULL
+ FROM judged WHERE sink IS NULL GROUP BY topic, part"""
+
+
+SHARED = [("n1", "bigint"), ("n2", "bigint"), ("n3", "bigint"), ("x1", "double"), ("x2", "double"), ("x3", "double"),
+          ("s1", "string"), ("s2", "string"), ("s3", "string")]
+SINK_FIELDS = {
+    "orders": {"n1": "order_id", "n2": "user_id", "x1": "amount", "s1": "status", "s2": "created_time"},
+    "dev_stats": {"n1": "device_id", "n2": "ts", "x1": "metric_value", "s1": "metric_name"},
+    "monitor": {"n1": "ts", "x1": "cpu_usage", "x2": "mem_usage", "x3": "disk_usage", "s1": "host"},
+    "user_events": {"n1": "uid", "n2": "duration_ms", "n3": "ts", "s1": "event", "s2": "page", "s3": "topic"},
+}
+
+
+def _in_shared(rows: DataFrame, sink: str, date, fields: dict) -> DataFrame:
+    columns = [(F.col(fields[n]) if isinstance(fields.get(n), str) else fields.get(n, F.lit(None))).cast(t).alias(n) for n, t in SHARED]
+    return rows.select(F.lit(sink).alias("sink"), date.cast("string").alias("date"), *columns)
+
+
+def _landed(spark: SparkSession, root: str, quarantine: str, unmatched: DataFrame) -> DataFrame:
+    """All that was written: every column of every sink, the quarantine, and the counts of unmatched records
+    (topic, partition, records, offsets)."""
+    base = f"{root}/hdfs/kafka/data"
+    out = _in_shared(unmatched, "unmatched", F.lit(None), {"n1": "partition", "n2": "records", "n3": "offsets", "s1": "topic"})
+    bad = spark.read.parquet(quarantine)
+    at = F.unix_millis("timestamp")
+    out = out.unionByName(_in_shared(bad, "quarantine", F.lit(None), {
+        "n1": "partition", "n2": "offset", "n3": at, "s1": "topic", "s2": "reason", "s3": "value"}))
+    for sink, fields in SINK_FIELDS.items():
+        rows = spark.read.options(**sinks.CSV_OPTIONS).csv(f"{base}/{sink}") if sink == "monitor" else spark.read.parquet(f"{base}/{sink}")
+        out = out.unionByName(_in_shared(rows, sink, F.col("date"), fields))
+    return out
 
 
 @query("fanout_sink", FANNED)
 def fanout_sink(spark, sf):
     root = scratch_path(spark, "fanout")
-    configs = derived(spark, sf, "sample_configs")
-    sinks.fan_out(_routed(spark, sf, "mixed_env"), configs, root, root + "/quarantine")
-    return _landed(spark, root)
+    records, configs = envelope(spark, sf, "mixed_env"), derived(spark, sf, "sample_configs")
+    matched = routing.match_topics(records, configs)
+    sinks.fan_out(routing.route(records, matched), configs, root, root + "/quarantine")
+    left = routing.unmatched(records, matched).groupBy("topic", "partition").agg(
+        F.count(F.lit(1)).alias("records"), F.sum("offset").alias("offsets"))
+    return _landed(spark, root, root + "/quarantine", left)
 
 
 @query("stream_ingest", FANNED)
@@ -518,17 +557,16 @@ def stream_ingest(spark, sf):
     derived(spark, sf, "sample_configs").write.parquet(configs)
     job = IngestJob(lambda session: session.read.parquet(configs), root)
     job.run_available(spark, source, max_files=max(files // 2, 1))
-    return _landed(spark, root + "/data")
+    left = spark.read.parquet(root + "/unmatched").groupBy("topic", "partition").agg(
+        F.sum("records").alias("records"), F.sum("offsets").alias("offsets"))
+    return _landed(spark, root + "/data", root + "/quarantine", left)
 
 
-@query("compact_distinct", """
-SELECT DISTINCT l_returnflag, l_linestatus, l_quantity, l_discount, strftime(l_shipdate, '%Y') AS y FROM lineitem""")
+@query("compact_distinct", "SELECT DISTINCT * REPLACE (epoch_us(l_shipdate) AS l_shipdate) FROM lineitem")
 def compact_distinct(spark, sf):
-    rows = table(spark, sf, "lineitem").select(
-        "l_returnflag", "l_linestatus", "l_quantity", "l_discount", F.date_format("l_shipdate", "yyyy").alias("y"))
     path = scratch_path(spark, "compact")
-    sinks.compact(rows, path, partition_by=("l_returnflag",))
-    return spark.read.parquet(path)
+    sinks.compact(table(spark, sf, "lineitem"), path, partition_by=("l_returnflag",))
+    return spark.read.parquet(path).withColumn("l_shipdate", F.unix_micros(F.col("l_shipdate").cast("timestamp")))
 
 
 @query("schema_evolution", """

@@ -152,7 +152,7 @@ class IngestJob:
             self._write(
                 routing.unmatched(records, matched).groupBy(*KEYS).agg(
                     F.count(F.lit(1)).alias("records"), F.min("offset").alias("start_offset"),
-                    F.max("offset").alias("end_offset")),
+                    F.max("offset").alias("end_offset"), F.sum("offset").alias("offsets")),
                 "unmatched", batch)
             routed = routing.route(records, matched).withColumn("batch", F.lit(batch))
             at = "timestamp"
