@@ -23,13 +23,21 @@ def batches_by_rows(records: DataFrame, flush_rows: Column) -> DataFrame:
     return numbered.withColumn("batch_id", F.floor(F.col("rn") / flush_rows).cast("bigint")).drop("rn")
 
 
+def narrow(records: DataFrame) -> DataFrame:
+    """What a manifest needs of records: positions, times and `payload_bytes` instead of the payloads, which
+    would be shuffled and sorted only to be counted."""
+    return records.select(*KEYS, "offset", "timestamp", payload_bytes(F.col("value")).alias("payload_bytes"))
+
+
 def manifest(batched: DataFrame) -> DataFrame:
-    """One row per batch: offset range, rows, bytes and the time of its first record."""
+    """One row per batch of `narrow` records: offset range, rows, bytes and the time of its first record."""
+    if "payload_bytes" not in batched.columns:
+        batched = batched.withColumn("payload_bytes", payload_bytes(F.col("value")))
     return batched.groupBy(*KEYS, "batch_id").agg(
         F.min("offset").alias("start_offset"),
         F.max("offset").alias("end_offset"),
         F.count(F.lit(1)).alias("record_count"),
-        F.sum(payload_bytes(F.col("value"))).alias("bytes"),
+        F.sum("payload_bytes").alias("bytes"),
         F.min_by("timestamp", "offset").alias("first_ts"),
     )
 

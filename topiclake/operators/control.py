@@ -185,8 +185,11 @@ def change_states(snapshot: DataFrame, changes: DataFrame) -> DataFrame:
     action = F.col("action")
     birth = action.isin("LOAD", "CREATE")
 
+    # A life runs from one DELETE to the next and holds one accepted birth at most.
     alive = F.when(birth, 1).when(action == "DELETE", 0)
-    seen = running(feed, key, order, block, [Running("alive", "last", alive, inclusive=False)])
+    seen = running(feed, key, order, block, [
+        Running("alive", "last", alive, inclusive=False),
+        Running("life", "sum", (action == "DELETE").cast("bigint"), inclusive=False)])
     exists = F.coalesce(F.col("alive"), F.lit(0)) == 1
     accepted = written_table(seen.filter(F.when(birth, ~exists).otherwise(exists)).drop("alive"), "accepted")
 
@@ -194,17 +197,14 @@ def change_states(snapshot: DataFrame, changes: DataFrame) -> DataFrame:
     content = F.when(birth | (action == "UPDATE"), F.struct(*MUTABLE))
     status = (F.when(action == "LOAD", F.col("__status")).when(action.isin("CREATE", "RESUME"), "ACTIVE")
               .when(action == "PAUSE", "PAUSED"))
-    state = running(accepted, key, order, block, [
-        Running("life", "sum", birth.cast("bigint")), Running("bumps", "sum", bump),
+    state = running(accepted, [*key, "life"], order, block, [
+        Running("base", "last", F.when(birth, F.coalesce(F.col("__version"), F.lit(1)))), Running("bumps", "sum", bump),
         Running("identity", "last", F.when(birth, F.struct(*IDENTITY))),
         Running("content", "last", content), Running("content_before", "last", content, inclusive=False),
         Running("status", "last", status), Running("status_before", "last", status, inclusive=False),
     ])
-    state = written_table(state, "states")
-    first = F.coalesce(F.col("__version"), F.lit(1)) - F.col("bumps")
-    births = state.filter(birth).select("config_id", "life", first.alias("base"))
     version = F.col("base") + F.col("bumps")
-    return state.join(births, ["config_id", "life"]).select(
+    return state.select(
         "config_id", "seq", "action", "operator", "changed_at",
         F.struct("identity.*", "content.*", "status", version.cast("int").alias("version")).alias("after"),
         F.when(~birth, F.struct("identity.*", "content_before.*", F.col("status_before").alias("status"),

@@ -294,7 +294,7 @@ FROM clean_events_env)"""
 
 
 def _batched(spark, sf):
-    return batching.batches_by_rows(envelope(spark, sf, "clean_events_env"), F.lit(FLUSH_ROWS))
+    return batching.batches_by_rows(batching.narrow(envelope(spark, sf, "clean_events_env")), F.lit(FLUSH_ROWS))
 
 
 @query("flush_manifest", with_clause("clean_events_env") + BATCHED + """
@@ -367,7 +367,7 @@ SELECT topic, part, off, '/hdfs/kafka/data/user_events/' || topic || '/' || strf
 FROM batched JOIN firsts USING (topic, part, batch_id)""")
 def route_flush(spark, sf):
     configs = derived(spark, sf, "sample_configs")
-    batched = _batched(spark, sf).drop("value")
+    batched = _batched(spark, sf).drop("payload_bytes")
     records = envelope(spark, sf, "clean_events_env")
     routed = routing.route(batched, routing.match_topics(records, configs), "sink_path")
     return _short(routing.route_by_flush(routed).select("topic", "partition", "offset", "path"))
