@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topiclake.llm.common import table
+from topiclake.llm.common import FILE, ROW, located, table
 from topiclake.llm.registry import query
 from topiclake.llm.words import grams, groups, numbered
 from topiclake.session import written_table
@@ -28,12 +28,10 @@ FOLDS, HELD = 4, 2
 
 
 def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket, number of the word) of the words themselves and of their character n-grams, in word order."""
+    """(bucket, number of the word) of the words themselves and of their character n-grams."""
     whole = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.int64, len(words)) % (BUCKETS - 1)
     parts, owner = grams(words, SIZES, BUCKETS - 1)
-    owners = np.concatenate([np.arange(len(words)), owner])
-    order = np.argsort(owners, kind="stable")
-    return np.concatenate([whole, parts])[order] + 1, owners[order]
+    return np.concatenate([whole, parts]) + 1, np.concatenate([np.arange(len(words)), owner])
 
 
 def document_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -117,12 +115,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -
     """(doc_id, text, y) of at most `rows` labelled documents, the same ones for the same input.
 
     `labels` is already without the held-out rows. Ids with contradicting or null labels are left out.
+    The sample is drawn on places alone; texts are then read where they lie, by as many tasks as ever.
     """
+    placed = located(docs)
     agreed = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.min(label).alias("y"), F.max(label).alias("__most")).filter("y = __most").select("doc_id", "y")
-    here = agreed.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
-    picked = F.broadcast(here.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))  # bounded by `rows`
-    return docs.select("doc_id", "text").join(picked, "doc_id").limit(rows)
+    drawn = placed.select("doc_id", FILE, ROW).join(agreed, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", FILE, ROW).limit(rows)
+    picked = F.broadcast(drawn.select(FILE, ROW, "y"))  # bounded by `rows`
+    return placed.select("doc_id", "text", FILE, ROW).join(picked, [FILE, ROW]).select("doc_id", "text", "y")
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", max_rows: int = MAX_TRAIN_ROWS) -> Model:
