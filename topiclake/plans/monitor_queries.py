@@ -200,9 +200,16 @@ def alert_increase(spark, sf):
     return _ms(monitor.alert_increase(samples, "k", "at", "counter", WINDOW_SEC, 200))
 
 
-@query("file_size_audit")
+@query("file_size_audit", """
+SELECT DISTINCT 'y=' || year(o_orderdate) AS directory, true AS sizes_agree, CAST(0 AS BIGINT) AS fit, CAST(0 AS BIGINT) AS too_large FROM orders""")
 def file_size_audit(spark, sf):
+    """Small tables: every file misses the target size, and sizes add up to what lies in the directory."""
     path = scratch_path(spark, "audit")
     rows = table(spark, sf, "orders").withColumn("y", F.year("o_orderdate"))
     sinks.write_parquet(rows, path, partition_by=("y",))
-    return monitor.file_size_audit(list_files(spark, path, "*.parquet"))
+    files = list_files(spark, path, "*.parquet")
+    audit = monitor.file_size_audit(files).withColumn("directory", F.element_at(F.split("directory", "/"), -1))
+    meta = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size").distinct()
+    there = meta.groupBy(F.element_at(F.split("file_path", "/"), -2).alias("directory")).agg(F.sum("file_size").alias("there"))
+    return audit.join(there, "directory").select("directory", (F.col("total_bytes") == F.col("there")).alias("sizes_agree"),
+                                                 (F.col("files") - F.col("too_small")).alias("fit"), "too_large")

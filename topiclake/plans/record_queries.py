@@ -582,9 +582,45 @@ def schema_evolution(spark, sf):
     return sinks.read_versions(spark, path).select("id", "name", "balance")
 
 
-@query("file_listing")
+def _by_year(spark, sf, name: str) -> str:
+    path = scratch_path(spark, name)
+    sinks.write_parquet(table(spark, sf, "orders").withColumn("y", F.year("o_orderdate")), path, partition_by=("y",))
+    return path
+
+
+@query("file_listing", "SELECT 'y=' || year(o_orderdate) AS directory, count(*) AS rows FROM orders GROUP BY ALL")
 def file_listing(spark, sf):
-    path = scratch_path(spark, "listing")
-    rows = table(spark, sf, "orders").withColumn("date", F.col("o_orderdate").cast("date"))
-    sinks.write_parquet(rows.withColumn("y", F.year("date")), path, partition_by=("y",))
-    return list_files(spark, path, "*.parquet")
+    """Every file that was written is listed, and no other: rows by the directory of the file they lie in."""
+    path = _by_year(spark, sf, "listing")
+    parts = F.split("path", "/")
+    files = list_files(spark, path, "*.parquet").filter("length > 0").select(
+        F.element_at(parts, -1).alias("file"), F.element_at(parts, -2).alias("directory"))
+    at = F.split("_metadata.file_path", "/")
+    rows = spark.read.parquet(path).groupBy(F.element_at(at, -1).alias("file"), F.element_at(at, -2).alias("directory")).count()
+    return files.join(rows, ["file", "directory"], "full_outer").groupBy("directory").agg(F.sum("count").alias("rows"))
+
+
+@query("exact_paths", "SELECT doc_id, n_chars, '/lake/' || source || '/' || lang AS path FROM documents")
+def exact_paths(spark, sf):
+    root = scratch_path(spark, "exact")
+    rows = table(spark, sf, "documents").select("doc_id", "n_chars", F.concat(F.lit("/lake/"), "source", F.lit("/"), "lang").alias("path"))
+    sinks.write_exact_paths(rows, root, "PARQUET", "SNAPPY")
+    back = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/lake")
+    return back.select("doc_id", "n_chars", F.regexp_extract(F.col("_metadata.file_path"), "(/lake/.*)/[^/]*$", 1).alias("path"))
+
+
+NUMBERS = parse_schema('{"fields":[{"name":"i","type":"INT"},{"name":"f","type":"FLOAT"},{"name":"big","type":"INT"},{"name":"t","type":"INT"},'
+                       '{"name":"b","type":"INT"},{"name":"ft","type":"FLOAT"}]}')
+
+
+@query("int_float_parse", """
+SELECT l_orderkey AS k, l_linenumber AS i, CAST(CAST(l_tax AS FLOAT) AS DOUBLE) AS f,
+ CASE WHEN l_orderkey * 1000000 <= 2147483647 THEN CAST(l_orderkey * 1000000 AS INTEGER) END AS big, l_linenumber AS t, CAST(NULL AS INTEGER) AS b,
+ CAST(CAST(l_discount AS FLOAT) AS DOUBLE) AS ft FROM lineitem""")
+def int_float_parse(spark, sf):
+    value = F.to_json(F.struct(
+        F.col("l_linenumber").alias("i"), F.col("l_tax").alias("f"), (F.col("l_orderkey") * 1000000).alias("big"),
+        F.col("l_linenumber").cast("string").alias("t"), F.lit(True).alias("b"), F.col("l_discount").cast("string").alias("ft")))
+    parsed = parse.parse_json(table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"), value.alias("value")), NUMBERS)
+    rows = parse.project(parsed, "k")
+    return rows.withColumns({"f": F.col("f").cast("double"), "ft": F.col("ft").cast("double")})
