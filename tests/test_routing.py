@@ -125,3 +125,12 @@ def test_records_without_a_position_are_all_kept(spark, monkeypatch):
     for small in (True, False):
         monkeypatch.setattr(ranges, "is_small", lambda df, small=small: small)
         assert sorted(r.value for r in ranges.dedup_offsets(records).collect()) == ["a", "bad", "bad"]
+
+
+def test_merged_ranges(spark):
+    rows = [("t", 0, 0, 9), ("t", 0, 10, 19), ("t", 0, 15, 17), ("t", 0, 21, 30), ("t", 1, 5, 5), ("t", 0, 0, 9), ("t", 0, 1 << 21, 1 << 22), ("t", 0, 3, 40)]
+    ranges_ = spark.createDataFrame(rows[:7], "topic string, partition int, start_offset long, end_offset long")
+    got = sorted((r.partition, r.start_offset, r.end_offset) for r in ranges.merge_ranges(ranges_).collect())
+    assert got == [(0, 0, 19), (0, 21, 30), (0, 1 << 21, 1 << 22), (1, 5, 5)]
+    wider = spark.createDataFrame(rows, ranges_.schema)
+    assert (0, 0, 40) in [(r.partition, r.start_offset, r.end_offset) for r in ranges.merge_ranges(wider).collect()]

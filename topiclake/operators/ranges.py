@@ -86,6 +86,18 @@ def offset_audit(ranges: DataFrame) -> DataFrame:
     )
 
 
+def merge_ranges(ranges: DataFrame) -> DataFrame:
+    """Overlapping and adjacent ranges of a partition as one, so that what was written stays a short table."""
+    unique = written_table(ranges.select(*KEYS, "start_offset", "end_offset").distinct(), "ranges")
+    order, block = ["start_offset", "end_offset"], offset_block("start_offset")
+    seen = running(unique, KEYS, order, block, [Running("covered_to", "max", F.col("end_offset"), inclusive=False)])
+    opens = F.coalesce(F.col("start_offset") > F.col("covered_to") + 1, F.lit(True)).cast("bigint")
+    seen = written_table(seen.withColumn("opens", opens).drop("covered_to"), "range-starts")
+    islands = running(seen, KEYS, order, block, [Running("island", "sum", F.col("opens"))])
+    return islands.groupBy(*KEYS, "island").agg(
+        F.min("start_offset").alias("start_offset"), F.max("end_offset").alias("end_offset")).drop("island")
+
+
 def dedup_offsets(records: DataFrame) -> DataFrame:
     """One record per (topic, partition, offset); of several, the one with the smallest value.
 

@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from topiclake.functions.casts import payload_bytes
 from topiclake.operators import ranges, routing
 from topiclake.operators.control import checked_configs, config_diff
-from topiclake.session import broadcast_if_small
+from topiclake.session import broadcast_if_small, written_table
 from topiclake.sources.envelope import stream_envelope
 from topiclake.sources.sinks import fan_out, write_parquet
 from topiclake.sources.tables import active_configs
@@ -123,8 +123,9 @@ class IngestJob:
                 # A file source may interleave the offsets of several batches, and a record that was never
                 # written must not be taken for a replay: only ranges with every offset seen count.
                 dense = F.col("distinct_offsets") == F.col("end_offset") - F.col("start_offset") + 1
-                self._ranges = reduce(DataFrame.unionByName, found).filter(dense).withColumn(
-                    "recorded_at", F.col("created_at"))
+                # The manifests are read once a run; what a micro-batch meets are the merged ranges alone.
+                merged = ranges.merge_ranges(reduce(DataFrame.unionByName, found).filter(dense))
+                self._ranges = written_table(merged, "written").withColumn("recorded_at", F.lit(0))
             self._ranges_read = True
         return self._ranges
 
