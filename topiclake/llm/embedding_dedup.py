@@ -218,6 +218,16 @@ def clusters(vectors: DataFrame) -> DataFrame:
     return done.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-@query("op3_embedding_dedup")
+SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+ WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding) AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+ WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reached AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT a AS vec_id, coalesce(any_value(n), 0) AS n_links, min(b) AS component_id, a = min(b) AS kept FROM reached LEFT JOIN counts USING (a) GROUP BY a"""
+
+
+@query("op3_embedding_dedup", SQL)
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters(table(spark, sf_dir, "embeddings"))

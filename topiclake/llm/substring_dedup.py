@@ -250,7 +250,19 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, kind)
 
 
-@query("op2_substring_dedup")
+SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+windows AS (SELECT doc_id, unnest(range(1, len(ws) - 18)) AS p,
+ unnest(list_transform(range(1, len(ws) - 18), lambda i: array_to_string(ws[i:i + 19], ' '))) AS k FROM w),
+again AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS i FROM again),
+words AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS word FROM w),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t FROM words ANTI JOIN covered USING (doc_id, i) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)"""
+
+
+@query("op2_substring_dedup", SQL)
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = deduplicated(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
