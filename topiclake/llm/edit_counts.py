@@ -47,51 +47,54 @@ def tokens_in(pretoken: str, vocabulary: str = VOCABULARY) -> int:
 class Tree:
     """The segment tree of one document."""
 
-    def __init__(self, text: str, lengths: list[int], counts: list[int], vocabulary: str = VOCABULARY):
-        self.vocabulary, self.leaves, at = vocabulary, [], 0
-        for i in range(0, len(lengths), LEAF):
-            own = lengths[i:i + LEAF]
-            size = sum(own)
-            self.leaves.append([text[at:at + size], own, counts[i:i + LEAF]])
+    def __init__(self, text: str, lengths: np.ndarray, counts: np.ndarray, vocabulary: str = VOCABULARY):
+        lengths, counts = np.asarray(lengths, np.int32), np.asarray(counts, np.int32)
+        self.vocabulary, at = vocabulary, 0
+        starts = range(0, len(lengths), LEAF)
+        sizes = np.add.reduceat(lengths, starts).tolist() if len(lengths) else []
+        self.leaves = []
+        for i, size in zip(starts, sizes):
+            self.leaves.append([text[at:at + size], lengths[i:i + LEAF], counts[i:i + LEAF]])
             at += size
         self._grow()
 
     def _grow(self) -> None:
         """The inner nodes over the leaves: node k has the children 2k and 2k + 1, leaf i is node width + i."""
-        self.leaves = self.leaves or [["", [], []]]
-        self.width = 1 << (len(self.leaves) - 1).bit_length()
-        nothing = (0, 0, 0)
-        sums = [nothing] * self.width + [self._sum(leaf) for leaf in self.leaves] + [nothing] * (self.width - len(self.leaves))
-        for k in range(self.width - 1, 0, -1):
-            sums[k] = tuple(map(sum, zip(sums[2 * k], sums[2 * k + 1])))
-        self.sums = sums
+        nothing = np.empty(0, np.int32)
+        self.leaves = self.leaves or [["", nothing, nothing]]
+        self.width = width = 1 << (len(self.leaves) - 1).bit_length()
+        self.sums = np.zeros((2 * width, 3), np.int64)
+        self.sums[width:width + len(self.leaves)] = [self._sum(leaf) for leaf in self.leaves]
+        while width > 1:
+            self.sums[width // 2:width] = self.sums[width:2 * width:2] + self.sums[width + 1:2 * width:2]
+            width //= 2
 
     @staticmethod
     def _sum(leaf) -> tuple[int, int, int]:
-        return len(leaf[0]), len(leaf[1]), sum(leaf[2])
+        return len(leaf[0]), len(leaf[1]), int(leaf[2].sum())
 
     @property
     def chars(self) -> int:
-        return self.sums[1][0]
+        return int(self.sums[1, 0])
 
     @property
     def tokens(self) -> int:
-        return self.sums[1][2]
+        return int(self.sums[1, 2])
 
     def _renew(self, leaf: int) -> None:
         k = self.width + leaf
         self.sums[k] = self._sum(self.leaves[leaf])
         while k > 1:
             k //= 2
-            self.sums[k] = tuple(map(sum, zip(self.sums[2 * k], self.sums[2 * k + 1])))
+            self.sums[k] = self.sums[2 * k] + self.sums[2 * k + 1]
 
     def _find(self, place: int) -> tuple[int, int]:
         """The leaf that holds the character at `place` (the last one for the end) and the characters before it."""
         k, before = 1, 0
         while k < self.width:
             k *= 2
-            if place >= before + self.sums[k][0] and self.sums[k + 1][0]:
-                before += self.sums[k][0]
+            if place >= before + self.sums[k, 0] and self.sums[k + 1, 0]:
+                before += int(self.sums[k, 0])
                 k += 1
         return k - self.width, before
 
@@ -101,14 +104,14 @@ class Tree:
         least LOOKAHEAD characters that stay."""
         leaf, before = self._find(max(start - 1, 0))
         index, end = 0, before
-        for index, size in enumerate(self.leaves[leaf][1]):
+        for index, size in enumerate(self.leaves[leaf][1].tolist()):
             end += size
             if end >= start:
                 break
         if index:
             return leaf, index - 1, before
         earlier = leaf - 1
-        while earlier >= 0 and not self.leaves[earlier][1]:
+        while earlier >= 0 and not len(self.leaves[earlier][1]):
             earlier -= 1
         if earlier < 0:
             return leaf, 0, before
@@ -119,7 +122,7 @@ class Tree:
         start = min(max(start, 0), self.chars)
         length = min(max(length, 0), self.chars - start)
         first, index, before = self._two_back(start)
-        begin = before + sum(self.leaves[first][1][:index])
+        begin = before + int(self.leaves[first][1][:index].sum())
         last, last_before = self._find(start + length)
         reach = 1
         while True:
@@ -144,9 +147,8 @@ class Tree:
     def _cut(self, new, old, first, index, last, at, length, inserted, whole):
         """New pre-tokens up to the first old boundary they meet behind the edit, and how many old ones of the
         leaves stay behind it; None if the text at hand does not reach so far."""
-        sizes = [n for leaf in self.leaves[first:last + 1] for n in leaf[1]][index:]
-        ends = np.cumsum(sizes, dtype=np.int64) if sizes else np.zeros(0, np.int64)
-        boundaries = {int(e) + inserted - length: n + 1 for n, e in enumerate(ends) if e >= at + length}
+        sizes = np.concatenate([leaf[1] for leaf in self.leaves[first:last + 1]])[index:]
+        boundaries = {e + inserted - length: n + 1 for n, e in enumerate(np.cumsum(sizes).tolist()) if e >= at + length}
         if at + length == 0:
             boundaries[inserted] = 0
         out, end = [], 0
@@ -163,31 +165,29 @@ class Tree:
 
     def _replace(self, first, index, last, pretokens, counts, kept) -> None:
         """Put the new pre-tokens in the place of the old ones from (first, index) to the last `kept` of `last`."""
-        head, tail = self.leaves[first], [leaf for leaf in self.leaves[first:last + 1]]
-        sizes = [n for leaf in tail for n in leaf[1]]
-        numbers = [n for leaf in tail for n in leaf[2]]
-        text = "".join(leaf[0] for leaf in tail)
-        ahead, behind = sum(head[1][:index]), sum(sizes[len(sizes) - kept:])
-        merged = [text[:ahead] + "".join(pretokens) + text[len(text) - behind:],
-                  sizes[:index] + [len(p) for p in pretokens] + sizes[len(sizes) - kept:],
-                  numbers[:index] + counts + numbers[len(numbers) - kept:]]
-        if len(merged[1]) <= LONGEST_LEAF * (last - first + 1):
-            share, at, done = -(-len(merged[1]) // (last - first + 1)), 0, 0
-            for n in range(first, last + 1):
-                own = merged[1][done:done + share]
-                size = sum(own)
-                self.leaves[n] = [merged[0][at:at + size], own, merged[2][done:done + share]]
-                at, done = at + size, done + share
-                self._renew(n)
+        old = self.leaves[first:last + 1]
+        text = "".join(leaf[0] for leaf in old)
+        sizes, numbers = (np.concatenate([leaf[n] for leaf in old]) for n in (1, 2))
+        behind = len(sizes) - kept
+        text = text[:int(sizes[:index].sum())] + "".join(pretokens) + text[len(text) - int(sizes[behind:].sum()):]
+        sizes = np.concatenate([sizes[:index], np.fromiter(map(len, pretokens), np.int32, len(pretokens)), sizes[behind:]])
+        numbers = np.concatenate([numbers[:index], np.array(counts, np.int32), numbers[behind:]])
+        if len(sizes) > LONGEST_LEAF * len(old):
+            self.leaves[first:last + 1] = Tree(text, sizes, numbers, self.vocabulary).leaves
+            self._grow()
             return
-        fresh = Tree(merged[0], merged[1], merged[2], self.vocabulary).leaves
-        self.leaves[first:last + 1] = fresh
-        self._grow()
-
-    def parts(self) -> tuple[str, list[int], list[int]]:
+        share, at = -(-len(sizes) // len(old)), 0
+        for n in range(len(old)):
+            own = sizes[n * share:(n + 1) * share]
+            end = at + int(own.sum())
+            self.leaves[first + n] = [text[at:end], own, numbers[n * share:(n + 1) * share]]
+            self._renew(first + n)
+            at = end
+
+    def parts(self) -> tuple[str, np.ndarray, np.ndarray]:
         """The document's text, and its pre-tokens' lengths and token counts."""
-        return ("".join(leaf[0] for leaf in self.leaves), [n for leaf in self.leaves for n in leaf[1]],
-                [n for leaf in self.leaves for n in leaf[2]])
+        return ("".join(leaf[0] for leaf in self.leaves), np.concatenate([leaf[1] for leaf in self.leaves]),
+                np.concatenate([leaf[2] for leaf in self.leaves]))
 
 
 def _lists(parts: list[np.ndarray]) -> pa.Array:
@@ -195,6 +195,10 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts) if parts else np.empty(0), pa.int32()))
 
 
+def _numbers(cell: pa.ListScalar) -> np.ndarray:
+    return cell.values.to_numpy(zero_copy_only=False) if cell.is_valid else np.empty(0, np.int32)
+
+
 def _counted(texts: Iterable[str], vocabulary: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Lengths and token counts of each text's pre-tokens; distinct ones are encoded once for a group of texts."""
     find, held, size = _pattern().findall, [], 0
@@ -255,15 +259,15 @@ def edited(state: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
             texts, parts, sums = [], ([], []), ([], [], [], [])
             lists = [batch.column(n) for n in ("lengths", "counts", "edits")]
             for text, lengths, counts, edits in zip(batch.column("text"), *lists):
-                tree = Tree(text.as_py() or "", lengths.as_py() or [], counts.as_py() or [], vocabulary)
+                tree = Tree(text.as_py() or "", _numbers(lengths), _numbers(counts), vocabulary)
                 before, encoded = tree.tokens, 0
                 for e in edits.as_py() or []:
                     if e is not None:
                         encoded += tree.edit(e["start"] or 0, e["length"] or 0, e["insert"] or "")
                 now, sizes, numbers = tree.parts()
                 texts.append(now)
-                parts[0].append(np.array(sizes, np.int32))
-                parts[1].append(np.array(numbers, np.int32))
+                parts[0].append(sizes)
+                parts[1].append(numbers)
                 for column, value in zip(sums, (before, tree.tokens, len(sizes), encoded)):
                     column.append(value)
             yield pa.RecordBatch.from_arrays(
