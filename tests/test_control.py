@@ -4,6 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from topiclake.operators import control
+from topiclake.plans.recipes import derived
 
 COLUMNS = ("schema_json string, sink_path string, sink_format string, compression string, flush_rows int, flush_bytes bigint, "
            "flush_interval_sec int, partition_by string, description string")
@@ -64,6 +65,26 @@ def test_diff(spark):
     assert got == {"gone": "REMOVED", "payments": "ADDED", "s": "SCHEMA_CHANGED", "o": "OTHER_CHANGED"}
 
 
+def test_diff_of_null_and_repeated_names(spark):
+    ddl = "topic_name string, version int, schema_json string"
+    old = [(" ", v, "a") for v in range(1, 401)] + [(None, 1, "a"), (None, 2, "a"), ("x" * 300, 1, "a"), ("x" * 300, 1, "b"), ("n", None, "a")]
+    new = [(" ", v, "b") for v in range(1, 402)] + [(None, 2, "z"), (None, 1, "a"), ("x" * 300, 2, "b"), ("n", 1, "a")]
+    rows = control.config_diff(spark.createDataFrame(old, ddl), spark.createDataFrame(new, ddl)).collect()
+    assert sorted(map(tuple, rows)) == [(" ", "SCHEMA_CHANGED", 400, 401), ("n", "OTHER_CHANGED", None, 1), ("x" * 300, "OTHER_CHANGED", 1, 2)]
+
+
+def test_diff_of_whole_derived_snapshots(spark):
+    sf = "/root/testdata/sf0.01"
+    old, new = (derived(spark, sf, n).select("topic_name", "version", "schema_json") for n in ("configs", "configs_next"))
+    got = sorted(((r.topic_name or "", r.change) for r in control.config_diff(old, new).collect()))
+    olds, news = ([tuple(r) for r in df.collect()] for df in (old, new))
+    a, b = ({r[0]: r[1:] for r in sorted(rows, key=lambda r: (r[1], r[2] is not None, r[2] or ""))} for rows in (olds, news))
+    want = [(r[0] or "", "REMOVED") for r in olds if r[0] not in b] + [(r[0] or "", "ADDED") for r in news if r[0] not in a]
+    want += [(n, "OTHER_CHANGED" if a[n][1] == b[n][1] else "SCHEMA_CHANGED") for n in a.keys() & b.keys() if a[n][0] != b[n][0]]
+    assert got == sorted(want)
+    assert ("", "REMOVED") in want and {None, " ", "x" * 300} <= a.keys()
+
+
 def errors(spark, text):
     return spark.createDataFrame([(text,)], "s string").select(control.schema_errors(F.col("s"))).first()[0]
 

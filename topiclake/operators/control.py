@@ -150,19 +150,28 @@ def config_diff(old: DataFrame, new: DataFrame, key: str = "topic_name", version
                 schema: str = "schema_json") -> DataFrame:
     """ADDED, REMOVED, SCHEMA_CHANGED or OTHER_CHANGED keys between two snapshots.
 
-    Rows of equal version are unchanged whatever else differs.
+    Rows of equal version are unchanged whatever else differs. A null key is a key like any other. Each row
+    of a key that one side lacks is added or removed. Where both sides have a key, its row of the highest
+    version stands for it, of equal versions the one with the last schema text; nulls come first. Both sides
+    meet in one aggregate, so no key joins many to many.
     """
-    a = old.select(F.col(key), F.col(version).alias("old_version"), F.col(schema).alias("old_schema"))
-    b = new.select(F.col(key), F.col(version).alias("new_version"), F.col(schema).alias("new_schema"))
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(F.col(key), F.struct(F.col(version).alias("version"), F.col(schema).alias("schema")).alias(name))
+
+    rows = side(old, "__old").unionByName(side(new, "__new"), allowMissingColumns=True)
+    names = rows.groupBy(key).agg(F.max("__old").alias("__old"), F.max("__new").alias("__new"))
+    shared = F.col("__old").isNotNull() & F.col("__new").isNotNull()
+    lone = names.filter(~shared).select(F.col(key).alias("__name"))
+    both = names.filter(shared).unionByName(rows.join(lone, F.col(key).eqNullSafe(F.col("__name")), "left_semi"))
     change = (
-        F.when(F.col("old_version").isNull(), "ADDED")
-        .when(F.col("new_version").isNull(), "REMOVED")
-        .when(F.col("old_version") == F.col("new_version"), None)
-        .when(F.col("old_schema").eqNullSafe(F.col("new_schema")), "OTHER_CHANGED")
+        F.when(F.col("__old").isNull(), "ADDED")
+        .when(F.col("__new").isNull(), "REMOVED")
+        .when(F.col("__old.version") == F.col("__new.version"), None)
+        .when(F.col("__old.schema").eqNullSafe(F.col("__new.schema")), "OTHER_CHANGED")
         .otherwise("SCHEMA_CHANGED")
     )
-    both = a.join(b, key, "full_outer").withColumn("change", change).filter("change IS NOT NULL")
-    return both.select(key, "change", "old_version", "new_version")
+    return both.withColumn("change", change).filter("change IS NOT NULL").select(
+        key, "change", F.col("__old.version").alias("old_version"), F.col("__new.version").alias("new_version"))
 
 
 def change_states(snapshot: DataFrame, changes: DataFrame) -> DataFrame:
