@@ -3,12 +3,16 @@
 In each pass a vector gets a key of concatenated random hashes, the signs of its projections, and all
 vectors of a label are ordered by it. Near vectors share a prefix of their keys and so lie close together;
 each is compared with the next WINDOW of the order. Links found in any pass are joined into components.
-A window bounds what one pass compares, not what is found: inside a component, chunk by chunk, every
-vector is then compared with every other, so link counts are whole however dense the component is.
+A pair that no window holds is not found, and that grows likelier with the label. So the number of passes
+follows each label's measured size: a pair at THRESHOLD among evenly spread vectors is found with
+probability RECALL at least. Where more than WINDOW vectors crowd around a pair without linking, it may be
+less. Inside a component, chunk by chunk, every vector is then compared with every other, so link counts
+are whole however dense the component is.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -20,10 +24,11 @@ from pyspark.sql import functions as F
 from topiclake.llm.common import table
 from topiclake.llm.graph import components, forest
 from topiclake.llm.registry import query
-from topiclake.session import written_table
+from topiclake.session import broadcast_if_small, written_table
 
 THRESHOLD = 0.93
-PASSES = 12
+RECALL = 0.99
+PASSES = 12  # at least
 BITS = 62
 WINDOW = 32
 BLOCK = 2048  # consecutive places of an order that are compared in one go
@@ -53,16 +58,27 @@ def _planes(number: int, dimension: int) -> np.ndarray:
     return np.random.default_rng([number, dimension]).standard_normal((dimension, BITS))
 
 
+def passes(size: int) -> int:
+    """The passes a label of `size` vectors needs: in one pass a pair shares a window when the bits that
+    leave WINDOW of the label's vectors agree."""
+    agree = (1 - math.acos(THRESHOLD) / math.pi) ** math.log2(max(size / WINDOW, 1))
+    return PASSES if agree == 1 else max(PASSES, math.ceil(math.log(1 - RECALL) / math.log1p(-agree)))
+
+
 def _keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     powers = 1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)
     for batch in batches:
         vectors = _vectors(batch.column("vector"))
         sizes = np.array([len(v) for v in vectors])
         cid, grp = batch.column("cid").to_numpy(), batch.column("grp").to_numpy()
+        rows, which = np.unique(batch.column("rows").to_numpy(), return_inverse=True)
+        needed = np.array([passes(n) for n in rows.tolist()], np.int64)[which]
         for size in np.unique(sizes):
             at = np.flatnonzero(sizes == size)
             units = _units([vectors[i] for i in at])
-            for number in range(PASSES):
+            for number in range(needed[at].max()):
+                more = needed[at] > number
+                at, units = at[more], units[more]
                 key = ((units @ _planes(number, size)) > 0) @ powers
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(at), number, np.int32)), pa.array(grp[at]), pa.array(key), pa.array(cid[at])],
@@ -119,11 +135,17 @@ def _whole_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterato
         yield joined()
 
 
+def keyed(classes: DataFrame) -> DataFrame:
+    """(pass, grp, key, cid): each class once for each pass that the size of its group asks for."""
+    sizes = broadcast_if_small(classes.groupBy("grp").agg(F.count(F.lit(1)).alias("rows")))
+    rows = classes.select("cid", "grp", "vector").join(sizes, "grp").select("cid", "grp", "vector", "rows")
+    return rows.mapInArrow(_keys, "pass int, grp long, key long, cid long")
+
+
 def candidate_links(classes: DataFrame) -> DataFrame:
     """(a, b): links between classes that some pass finds, at most one for each class, pass and block."""
     order = ["pass", "grp", "key", "cid"]
-    keyed = classes.select("cid", "grp", "vector").mapInArrow(_keys, "pass int, grp long, key long, cid long")
-    sorted_ = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
+    sorted_ = keyed(classes).repartitionByRange(*order).sortWithinPartitions(*order)
     placed = written_table(sorted_.select(*order, F.monotonically_increasing_id().alias("at")), "orders")
 
     part = F.shiftright("at", 33)
