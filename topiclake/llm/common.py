@@ -30,6 +30,19 @@ def located(docs: DataFrame) -> DataFrame:
         return located(written_table(docs, "located"))
 
 
+def set_aside(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """`docs` with its own columns that begin like the helpers' (two underscores) under other names, and the way back."""
+    taken, names = {c.lower() for c in docs.columns}, {}
+    for c in docs.columns:
+        if c.startswith("__"):
+            n = 0
+            while (name := f"own{n}_{c.strip('_')}").lower() in taken:
+                n += 1
+            taken.add(name.lower())
+            names[c] = name
+    return docs.withColumnsRenamed(names), {name: c for c, name in names.items()}
+
+
 def in_buckets(keys: DataFrame, column: Column) -> DataFrame:
     """The distinct buckets of a key: at most BUCKETS short rows, whatever the table holds."""
     return F.broadcast(keys.select(F.pmod(F.xxhash64(column), F.lit(BUCKETS)).alias("__bucket")).distinct())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topiclake.llm.common import FILE, ROW, WHITE, located, maybe_in, table, without
+from topiclake.llm.common import FILE, ROW, WHITE, located, maybe_in, set_aside, table, without
 from topiclake.llm.registry import query
 from topiclake.session import scratch_path, written_table
 
@@ -106,8 +106,9 @@ def decisions(docs: DataFrame, *, digest=sha256) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """`docs` with one record of each group of equal texts, all columns unchanged."""
+    docs, back = set_aside(docs)
     placed = located(docs)
-    return without(placed, decisions(placed).filter("NOT kept"))
+    return without(placed, decisions(placed).filter("NOT kept")).withColumnsRenamed(back)
 
 
 SQL = r"""

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from topiclake.llm.common import FILE, ROW, located, table
+from topiclake.llm.common import FILE, ROW, located, set_aside, table
 from topiclake.llm.registry import query
 from topiclake.session import written_table
 
@@ -39,6 +39,8 @@ FOLDS, HELD, CALIBRATION = 5, 0, 1
 LEAD_BINS, LEAD_STEP = 400, 0.25
 SPREAD, LEAST_ROWS = 4.0, 30  # standard deviations a text may lie above its language's mean; rows a mean needs
 UNKNOWN = "und"
+N, FIRST, SECOND = "__n", "__first", "__second"
+RESULT = ("lang_pred", "score", "bits", "rejected")
 BACK = ORDER - 1
 
 
@@ -238,11 +240,11 @@ def entropies(languages: list[Language], texts: Iterable[str | None]) -> tuple[n
 
 
 def _in_block(docs: DataFrame, languages: list[Language]) -> DataFrame:
-    """Every document with `n`, the characters read, and its two best languages of the block, as `first` and
-    `second` (bits, lang); the second is null if there is one language only, both without letters."""
+    """Every document with N, the characters read, and its two best languages of the block, as FIRST and
+    SECOND (bits, lang); the second is null if there is one language only, both without letters."""
     others = [c for c in docs.columns if c != "text"]
     pair = StructType().add("bits", "double").add("lang", "string")
-    kind = docs.select(*others).schema.add("n", "long").add("first", pair).add("second", pair)
+    kind = docs.select(*others).schema.add(N, "long").add(FIRST, pair).add(SECOND, pair)
     type_ = pa.struct([("bits", pa.float64()), ("lang", pa.string())])
     names = [x.name for x in languages]
 
@@ -253,18 +255,18 @@ def _in_block(docs: DataFrame, languages: list[Language]) -> DataFrame:
             best = [pa.array([{"bits": bits[i, o[k]], "lang": names[o[k]]} if n[i] and k < len(o) else None
                               for i, o in enumerate(order)], type_) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(n), *best], schema=pa.schema(
-                [*(batch.schema.field(c) for c in others), ("n", pa.int64()), ("first", type_), ("second", type_)]))
+                [*(batch.schema.field(c) for c in others), (N, pa.int64()), (FIRST, type_), (SECOND, type_)]))
 
     return docs.select(*others, "text").mapInArrow(run, kind)
 
 
 def measured(docs: DataFrame, made: DataFrame) -> DataFrame:
-    """The columns of `docs` but `text`, with `n`, `first` and `second` over all languages of `made`."""
+    """The columns of `docs` but `text`, with N, FIRST and SECOND over all languages of `made`."""
     found = blocks(made)
     languages = next(found, None)
     if languages is None:
         pair = F.lit(None).cast("struct<bits:double,lang:string>")
-        return docs.drop("text").withColumns({"n": F.lit(0).cast("long"), "first": pair, "second": pair})
+        return docs.drop("text").withColumns({N: F.lit(0).cast("long"), FIRST: pair, SECOND: pair})
     following = next(found, None)
     if following is None:
         return _in_block(docs, languages)
@@ -276,19 +278,19 @@ def measured(docs: DataFrame, made: DataFrame) -> DataFrame:
     for scan in scans[1:]:
         every = every.unionByName(scan)
     # two languages a block; a document's blocks are as many as the languages need
-    both = every.groupBy(FILE, ROW).agg(F.max("n").alias("n"), F.sort_array(F.flatten(
-        F.collect_list(F.array_compact(F.array("first", "second"))))).alias("best"))
-    both = both.select(FILE, ROW, "n", F.get("best", F.lit(0)).alias("first"), F.get("best", F.lit(1)).alias("second"))
+    both = every.groupBy(FILE, ROW).agg(F.max(N).alias(N), F.sort_array(F.flatten(
+        F.collect_list(F.array_compact(F.array(FIRST, SECOND))))).alias("best"))
+    both = both.select(FILE, ROW, N, F.get("best", F.lit(0)).alias(FIRST), F.get("best", F.lit(1)).alias(SECOND))
     return placed.drop("text").join(both, [FILE, ROW]).drop(FILE, ROW)
 
 
 def lead() -> Column:
     """How far ahead the first language is, in bits by the square root of the characters."""
-    return F.coalesce((F.col("second.bits") - F.col("first.bits")) * F.sqrt("n"), F.lit(0.0))
+    return F.coalesce((F.col(SECOND)["bits"] - F.col(FIRST)["bits"]) * F.sqrt(N), F.lit(0.0))
 
 
 def length_class() -> Column:
-    return F.floor(F.log2(F.greatest("n", F.lit(1)))).cast("int")
+    return F.floor(F.log2(F.greatest(F.col(N), F.lit(1)))).cast("int")
 
 
 @dataclass
@@ -301,31 +303,31 @@ class Calibration:
 
     def score(self) -> Column:
         known = 1 / (1 + F.exp(-(F.lit(self.slope) * lead() + F.lit(self.shift))))
-        return F.when(F.col("first").isNotNull(), known).otherwise(F.lit(0.0))
+        return F.when(F.col(FIRST).isNotNull(), known).otherwise(F.lit(0.0))
 
     def rejected(self) -> Column:
         """Without letters, or of a cross-entropy the predicted language's texts do not have."""
         limits = F.lit(None).cast("double")
         if self.limits:
             pairs = [F.lit(v) for (lang, size), limit in self.limits.items() for v in (f"{lang}\n{size}", float(limit))]
-            limits = F.create_map(*pairs)[F.concat_ws("\n", F.col("first.lang"), length_class().cast("string"))]
-        return F.col("first").isNull() | F.coalesce(F.col("first.bits") > limits, F.lit(False))
+            limits = F.create_map(*pairs)[F.concat_ws("\n", F.col(FIRST)["lang"], length_class().cast("string"))]
+        return F.col(FIRST).isNull() | F.coalesce(F.col(FIRST)["bits"] > limits, F.lit(False))
 
 
 def calibrated(docs: DataFrame, made: DataFrame) -> Calibration:
     """Fit on the labelled documents `docs`, which the models have not seen.
 
     The driver gets at most LEAD_BINS counts and 64 rows a language."""
-    rows = written_table(measured(docs.filter("lang IS NOT NULL").select("lang", "text"), made).filter("first IS NOT NULL"), "calibration")
+    rows = written_table(measured(docs.filter("lang IS NOT NULL").select("lang", "text"), made).filter(F.col(FIRST).isNotNull()), "calibration")
     bin_ = F.least(F.floor(lead() / LEAD_STEP), F.lit(LEAD_BINS - 1)).alias("bin")
-    right = F.avg((F.col("first.lang") == F.col("lang")).cast("double"))
+    right = F.avg((F.col(FIRST)["lang"] == F.col("lang")).cast("double"))
     bins = rows.groupBy(bin_).agg(F.count(F.lit(1)).alias("n"), right.alias("share")).collect()
     n = np.array([r["n"] for r in bins], np.float64)
     x = (np.array([r["bin"] for r in bins], np.float64) + 0.5) * LEAD_STEP
     slope, shift = logistic(x, np.array([r["share"] for r in bins], np.float64), n)
-    own = rows.filter(F.col("first.lang") == F.col("lang"))
+    own = rows.filter(F.col(FIRST)["lang"] == F.col("lang"))
     by_class = own.groupBy("lang", length_class().alias("size")).agg(
-        F.count(F.lit(1)).alias("n"), F.avg("first.bits").alias("mean"), F.stddev_pop("first.bits").alias("deviation"))
+        F.count(F.lit(1)).alias("n"), F.avg(F.col(FIRST)["bits"]).alias("mean"), F.stddev_pop(F.col(FIRST)["bits"]).alias("deviation"))
     limits = {(r["lang"], r["size"]): r["mean"] + SPREAD * r["deviation"] for r in by_class.collect() if r["n"] >= LEAST_ROWS}
     return Calibration(slope, shift, limits)
 
@@ -358,12 +360,13 @@ def predicted(docs: DataFrame, made: DataFrame, fit: Calibration) -> DataFrame:
     `lang_pred` is the language of lowest cross-entropy (ties: the first name), `und` for null and empty texts,
     texts without a letter and where nothing was learned, whose score is 0 and which are rejected. Very long texts
     are read in pieces of PIECE characters, without a gap. Repeated rows and rows without an id are treated like any
-    other; an empty table gives no rows.
+    other, columns that have the names of the results are replaced; an empty table gives no rows.
     """
+    docs, back = set_aside(docs.drop(*RESULT))
     found = measured(docs, made)
     others = [c for c in docs.columns if c != "text"]
-    return found.select(*others, F.coalesce("first.lang", F.lit(UNKNOWN)).alias("lang_pred"), fit.score().alias("score"),
-                        F.col("first.bits").alias("bits"), fit.rejected().alias("rejected"))
+    values = F.coalesce(F.col(FIRST)["lang"], F.lit(UNKNOWN)), fit.score(), F.col(FIRST)["bits"], fit.rejected()
+    return found.select(*others, *(v.alias(c) for v, c in zip(values, RESULT))).withColumnsRenamed(back)
 
 
 def learned(docs: DataFrame) -> tuple[DataFrame, Calibration]:

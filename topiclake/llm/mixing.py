@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from topiclake.llm.common import FILE, ROW, WORD, located, table, without
+from topiclake.llm.common import FILE, ROW, WORD, located, set_aside, table, without
 from topiclake.llm.registry import query
 from topiclake.session import broadcast_if_small, written_table
 
@@ -147,13 +147,14 @@ def choose(docs: DataFrame, mix: Mix) -> DataFrame:
 
 def mixed(docs: DataFrame, mix: Mix) -> DataFrame:
     """The records the mixture takes, each as often as it is taken, with the columns of `docs`."""
+    docs, back = set_aside(docs)
     placed = located(docs)
     taken = choose(placed, mix)
     once = without(placed, taken.filter("epochs = 0"))
     if mix.epochs == 1:
-        return once
+        return once.withColumnsRenamed(back)
     again = taken.filter("epochs > 1").select(FILE, ROW, F.explode(F.expr("sequence(2, epochs)")).alias("__epoch"))
-    return once.unionByName(placed.join(again, [FILE, ROW]).select(*once.columns))
+    return once.unionByName(placed.join(again, [FILE, ROW]).select(*once.columns)).withColumnsRenamed(back)
 
 
 def _sql_level(parents: str, level: str, room: str, given: str, join: str, mix: Mix) -> str:

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topiclake.llm.common import FILE, ROW, located, table, without
+from topiclake.llm.common import FILE, ROW, located, set_aside, table, without
 from topiclake.llm.graph import components, forest
 from topiclake.llm.registry import query
 from topiclake.session import written_table
@@ -241,8 +241,9 @@ def clusters(docs: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """`docs` with one record of each component, all columns unchanged."""
+    docs, back = set_aside(docs)
     placed = located(docs)
-    return without(placed, clusters(placed).filter("NOT kept"))
+    return without(placed, clusters(placed).filter("NOT kept")).withColumnsRenamed(back)
 
 
 @query("op5_simhash")
