@@ -67,20 +67,55 @@ def test_planted_copies_of_all_strengths(spark):
     assert sorted(r.doc_id for r in near_copies.keep_first(docs).collect()) == want
 
 
-def test_recall_of_the_bands():
-    rng, met = np.random.default_rng(2), 0
+def test_recall_of_bands_and_signatures():
+    rng, met, agreed = np.random.default_rng(2), 0, 0
     for _ in range(400):
         hashes = rng.integers(0, 1 << 63, 360, dtype=np.uint64)
         a, b = np.sort(hashes[:324]), np.sort(hashes[36:])  # 288 of 360 are shared
-        assert near_copies.near(a, b) and not near_copies.near(a, np.setdiff1d(b, hashes[36:37]))
-        met += bool((near_copies.band_keys(a) == near_copies.band_keys(b)).any())
-    assert met >= 399
+        (keys_a, sign_a), (keys_b, sign_b) = near_copies.band_keys(a), near_copies.band_keys(b)
+        met += bool((keys_a == keys_b).any())
+        agreed += (sign_a == sign_b).sum() >= near_copies.AGREE
+    assert met >= 399 and agreed >= 399
+
+
+def family(n, share, rng):
+    """Texts of one template, each with words of its own in some places: alike, and not near."""
+    base = [f"t{i}" for i in range(200)]
+    return [" ".join(w if rng.random() < share else f"o{k}x{i}" for i, w in enumerate(base)) for k in range(n)]
+
+
+def test_family_of_texts_that_are_not_near(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "CHUNK", 16)
+    rng = random.Random(4)
+    texts = family(120, 0.96, rng) + family(60, 0.99, rng)
+    rows = list(enumerate(texts))
+    want, links = plain_kept(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in near_copies.keep_first(docs).collect()) == want
+    assert links and len(want) > 60
+
+
+def test_few_pairs_of_a_family_are_compared_by_text(spark):
+    rng = random.Random(6)
+    docs = near_copies.located(spark.createDataFrame(list(enumerate(family(150, 0.94, rng))), "doc_id long, text string"))
+    rows = near_copies.written_table(near_copies.banded(docs).withColumn("id", F.monotonically_increasing_id()), "bands")
+    a, b = (rows.select(F.col("id").alias(x)) for x in "ab")
+    assert near_copies.agreeing(a.join(b, F.col("a") < F.col("b")), rows).count() < 150 * 149 / 2 / 20
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(8)
+    words = [f"w{rng.randrange(10 ** 6)}" for _ in range(150_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:145_000])), (3, " ".join(words[:60_000])), (4, "short text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in near_copies.keep_first(docs).collect()) == [1, 3, 4]
 
 
 def test_odd_rows(spark):
     text = "a common line of some words that goes on for a while " * 3
     rows = [(3, text), (1, text.upper()), (None, text), (3, text), (5, None), (6, ""), (None, "quite another text here")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"id": F.lit("x"), "size": F.lit(1)})
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
+        {"id": F.lit("x"), "size": F.lit(1), "__file": F.lit("f"), "__row": F.lit(1), "__bucket": F.lit(2), "sig": F.lit("s")})
     kept = near_copies.keep_first(docs)
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "5", "None"]

@@ -57,8 +57,10 @@ def _streaming_session(spark: SparkSession) -> SparkSession:
 
 
 def _by_content(rows: DataFrame, repeated: DataFrame) -> DataFrame:
-    """(digest, content) classes of all rows whose digest arrived more than once, compared byte by byte."""
-    hits = maybe_in(rows, F.col("digest"), repeated, F.col("digest")).join(repeated, "digest", "left_semi")
+    """(digest, content) classes of all rows whose digest arrived more than once, compared byte by byte.
+
+    A few classes of other digests come along: copies collapse in the task that reads them, before any shuffle."""
+    hits = maybe_in(rows, F.col("digest"), repeated, F.col("digest"))
     first = F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", FILE, ROW))
     return hits.groupBy("digest", "content").agg(first.alias("first"), F.count(F.lit(1)).alias("group_size"))
 
@@ -97,7 +99,7 @@ def decisions(docs: DataFrame, *, digest=sha256) -> DataFrame:
     if mixed.isEmpty():
         return decided.select(*out)
     plain = decided.join(mixed, "digest", "left_anti").select(*out)
-    exact = _by_content(rows, mixed).select(
+    exact = _by_content(rows, mixed).join(mixed, "digest", "left_semi").select(
         "digest", "content", F.col("first.doc_id").alias("keep_id"), F.col(f"first.{FILE}").alias("keep_file"),
         F.col(f"first.{ROW}").alias("keep_row"), "group_size")
     apart = rows.withColumn("text_sha256", sha256(F.col("content"))).join(exact, ["digest", "content"])
