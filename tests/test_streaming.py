@@ -142,6 +142,29 @@ def test_a_stream_leaves_no_scratch(spark, place):
     from pathlib import Path
 
     from topiclake.session import shared_dir
-    before = set(Path(shared_dir(spark).removeprefix("file:")).glob("routed-*"))
-    job(place).run_available(spark, str(place / "in"))
-    assert set(Path(shared_dir(spark).removeprefix("file:")).glob("routed-*")) == before
+    here = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(here.glob("*"))
+    job(place).run_available(spark, str(place / "in"), max_files=1)
+    feed(spark, str(place / "in"), 40, 60)
+    job(place).run_available(spark, str(place / "in"), max_files=1)
+    assert set(here.glob("*")) == before
+
+
+def test_replay_a_minute_later_leaves_the_same_rows(spark, place):
+    """Records without a time, or with one before the epoch, go where the first attempt put them."""
+    spark.createDataFrame([(1, "t_.*", "REGEX", SCHEMA, "PARQUET", "/t/{topic}/{date}/{hour}{minute}", None, "SNAPPY", "ACTIVE", 1)],
+                          DDL).coalesce(1).write.mode("overwrite").parquet(str(place / "configs"))
+    rows = [("t_0", 0, i, '{"id":%d}' % i) for i in range(12)]
+    records = spark.createDataFrame(rows, "topic string, partition int, offset bigint, value string")
+    records = records.withColumn("timestamp", F.when(F.col("offset") % 3 == 0, F.timestamp_seconds(F.col("offset") * 60))
+                                 .when(F.col("offset") % 3 == 1, F.timestamp_seconds(-F.col("offset"))))
+    now = iter((1767225659, 1767225720, 1767312000))
+    ingest = IngestJob(lambda s: s.read.parquet(str(place / "configs")), str(place / "out"), clock=lambda: next(now))
+    seen = []
+    for _ in range(2):
+        ingest.process(records, 0)
+        seen.append(sorted(map(tuple, spark.read.parquet(str(place / "out/data/t")).collect())))
+    assert seen[0] == seen[1] and sorted(r[0] for r in seen[0]) == list(range(12))
+    assert spark.read.parquet(str(place / "out/batches")).count() == 1
+    ingest.process(records, 1)  # another batch has a clock of its own
+    assert spark.read.parquet(str(place / "out/batches")).select("opened_us").distinct().count() == 2

@@ -55,11 +55,11 @@ def _candidates(topics: DataFrame, patterns: DataFrame) -> DataFrame:
     return found.select("topic", "id").unionByName(anywhere.select("topic", "id"))
 
 
-def match_topics(topics: DataFrame, configs: DataFrame) -> DataFrame:
+def match_topics(topics: DataFrame, configs: DataFrame, path: str | None = None) -> DataFrame:
     """Each distinct topic with its configuration: an exact name beats a pattern, then the lowest id.
 
     Patterns are tried on distinct topics, never per record, and once: the map is written out, since
-    sizing it, routing by it and listing what it misses all read it again.
+    sizing it, routing by it and listing what it misses all read it again. At `path` the caller can remove it.
     """
     distinct = topics.select("topic").where("topic is not null").distinct()
     exact = configs.filter("match_type = 'EXACT'").groupBy(F.col("topic_name").alias("topic")).agg(
@@ -69,7 +69,7 @@ def match_topics(topics: DataFrame, configs: DataFrame) -> DataFrame:
         "topic", F.lit(1).alias("by_pattern"), "id"
     )
     best = by_name.unionByName(by_pattern).groupBy("topic").agg(F.min(F.struct("by_pattern", "id")).alias("best"))
-    return written_table(best.select("topic", F.col("best.id").alias("id")).join(configs, "id"), "topic-map")
+    return written_table(best.select("topic", F.col("best.id").alias("id")).join(configs, "id"), "topic-map", path)
 
 
 def subscription_topics(existing: DataFrame, configs: DataFrame) -> DataFrame:

@@ -48,13 +48,13 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def written_table(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage at `df` by writing it as parquet in the shared folder.
+def written_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Cut the lineage at `df` by writing it as parquet in the shared folder, or at `path`, which the caller removes.
 
     A table, unlike a checkpointed RDD, keeps column pruning and filter pushdown for its readers.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -1,8 +1,9 @@
 """The end-to-end stream: envelope -> configuration -> typed rows -> per-topic sinks, one micro-batch at a time.
 
 Everything a micro-batch writes carries a `batch` partition and replaces only that partition, so a
-batch that is run again after a failure rewrites its own directories. Spark commits the offsets after
-`process` returns: a crash re-reads, it never loses.
+batch that is run again after a failure rewrites its own directories. Its configuration and its clock, the time
+that stands in for a missing one, are kept before any data is written, so every attempt resolves the same
+directories. Spark commits the offsets after `process` returns: a crash re-reads, it never loses.
 """
 
 from __future__ import annotations
@@ -13,14 +14,14 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from topiclake.functions.casts import payload_bytes
 from topiclake.operators import ranges, routing
 from topiclake.operators.control import checked_configs, config_diff
-from topiclake.session import broadcast_if_small, written_table
+from topiclake.session import broadcast_if_small, remove_path, scratch_path, written_table
 from topiclake.sources.envelope import stream_envelope
 from topiclake.sources.sinks import fan_out, write_parquet
 from topiclake.sources.tables import active_configs
@@ -55,15 +56,16 @@ def drop_replays(stream: DataFrame, delay: str) -> DataFrame:
 
 class IngestJob:
     """Writes below `root`: data, quarantine, unmatched, manifest/<run>, metrics, configs, config_errors,
-    config_changes, runs."""
+    config_changes, batches, runs."""
 
     def __init__(self, read_configs: Callable[[SparkSession], DataFrame], root: str, *, route: str = "record",
-                 tz: str | None = None):
-        """`route` is `record` (each record's own time) or `flush` (the first record of its partition's batch)."""
+                 tz: str | None = None, clock: Callable[[], float] = time.time):
+        """`route` is `record` (each record's own time) or `flush` (the first record of its partition's batch).
+        `clock` gives the seconds since the epoch at which a batch is first attempted."""
         if route not in ("record", "flush"):
             raise ValueError("route must be record or flush")
         self.read_configs = read_configs
-        self.route, self.tz = route, tz
+        self.route, self.tz, self.clock = route, tz, clock
         self.root = root.rstrip("/")
         self.checkpoint = f"{self.root}/checkpoint"
         self.run_id = "run"
@@ -108,6 +110,19 @@ class IngestJob:
             pinned = checked_configs(self.read_configs(spark))[0].limit(0)
         return pinned
 
+    def _opened(self, spark: SparkSession, configs: DataFrame, batch: str) -> Column:
+        """The time of the batch's first attempt, which every later one finds in `batches` and uses again.
+
+        The record also says which configurations the batch was begun with: how many and a checksum of them.
+        """
+        opened = self._of_batch(spark, "batches", batch)
+        if opened is None:
+            whole = F.sum(F.xxhash64(*configs.columns).cast("decimal(38,0)")).cast("string")
+            begun = configs.agg(F.count(F.lit(1)).alias("configs"), whole.alias("config_sum"))
+            self._write(begun.withColumn("opened_us", F.lit(int(self.clock() * 1_000_000))).coalesce(1), "batches", batch)
+            opened = self._of_batch(spark, "batches", batch)
+        return F.timestamp_micros(F.lit(opened.first()["opened_us"]))
+
     def _config_changes(self, spark: SparkSession, configs: DataFrame, number: int, batch: str) -> None:
         previous = self._of_batch(spark, "configs", self.batch_name(number - 1)) if number else None
         if previous is not None:
@@ -116,7 +131,8 @@ class IngestJob:
     def _written_elsewhere(self, spark: SparkSession) -> DataFrame | None:
         """Gapless ranges of earlier runs. Within a run Spark's offset log never hands out a range twice."""
         if not self._ranges_read:
-            runs = [r["run"] for r in spark.read.parquet(f"{self.root}/runs").distinct().collect()]
+            known = table_or_none(spark, f"{self.root}/runs")
+            runs = [r["run"] for r in known.distinct().collect()] if known is not None else []
             found = [table_or_none(spark, f"{self.root}/manifest/{r}") for r in sorted(runs) if r != self.run_id]
             found = [t for t in found if t is not None]
             if found:
@@ -146,10 +162,12 @@ class IngestJob:
         spark = records.sparkSession
         batch = self.batch_name(number)
         configs = self._pinned_configs(spark, batch)
+        opened = self._opened(spark, configs, batch)
         self._config_changes(spark, configs, number, batch)
+        topic_map = scratch_path(spark, "topic-map")
         records = self._without_replays(spark, records).persist()
         try:
-            matched = routing.match_topics(records, configs)
+            matched = routing.match_topics(records, configs, topic_map)
             self._write(
                 routing.unmatched(records, matched).groupBy(*KEYS).agg(
                     F.count(F.lit(1)).alias("records"), F.min("offset").alias("start_offset"),
@@ -161,7 +179,7 @@ class IngestJob:
                 first = records.groupBy(*KEYS).agg(F.min_by("timestamp", "offset").alias("first_ts"))
                 routed, at = routed.join(broadcast_if_small(first), KEYS), "first_ts"
             fan_out(routed, configs, f"{self.root}/data", f"{self.root}/quarantine", mode="overwrite",
-                    extra_partition=("batch",), at=at, tz=self.tz, as_of=F.current_timestamp())
+                    extra_partition=("batch",), at=at, tz=self.tz, as_of=opened)
             self._write(
                 records.groupBy(*KEYS, "offset").agg(
                     F.count(F.lit(1)).alias("n"), F.sum(payload_bytes(F.col("value"))).alias("size"),
@@ -170,11 +188,12 @@ class IngestJob:
                     F.min("offset").alias("start_offset"), F.max("offset").alias("end_offset"),
                     F.sum("n").alias("record_count"), F.count(F.lit(1)).alias("distinct_offsets"),
                     F.sum("size").alias("bytes"), F.min_by("at", "offset").alias("first_ts"),
-                ).withColumn("created_at", F.current_timestamp()),
+                ).withColumn("created_at", opened),
                 f"manifest/{self.run_id}", batch)
             self._metrics(spark, records, batch, began)
         finally:
             records.unpersist()
+            remove_path(spark, topic_map)
 
     def _metrics(self, spark: SparkSession, records: DataFrame, batch: str, began: float) -> None:
         """Records, bytes and rejected records per topic, and how long the batch took to write."""
