@@ -9,7 +9,6 @@ from tests.test_batching import brute, make
 from topiclake.sources.envelope import stream_envelope
 from topiclake.streaming.cuts import NO_LIMIT, Open, advance, stream_cuts
 from topiclake.streaming.dedup import drop_seen, unseen, with_offsets
-from topiclake.streaming.ingest import table_or_none
 
 DDL = "topic string, partition int, offset bigint, bytes bigint, ts_ms bigint, flush_rows bigint, flush_bytes bigint, flush_ms bigint"
 
@@ -59,19 +58,16 @@ def test_stream_over_several_dealings(spark, tmp_path):
 
 
 def test_a_timer_closes_an_idle_partition(spark, tmp_path):
-    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    source = str(tmp_path / "in")
     rows = [("a", 0, i, 10, 1000 + i, 100, 10**6, 2000) for i in range(3)] + [("b", 0, 1, 10, 1000, 100, 10**6, 10**9)]
     spark.createDataFrame(rows, DDL).write.parquet(source)
-    query = (stream_cuts(spark.readStream.schema(DDL).parquet(source), idle=True).writeStream.format("parquet").option("path", out)
-             .option("checkpointLocation", out + "-c").trigger(processingTime="500 milliseconds").start())
+    query = (stream_cuts(spark.readStream.schema(DDL).parquet(source), idle=True).writeStream.format("memory").queryName("idle_cuts")
+             .trigger(processingTime="500 milliseconds").start())
     try:
         until, found = time.time() + 90, []
-        while time.time() < until and not found:
+        while time.time() < until and not found and not query.exception():
             time.sleep(1)
-            if query.exception():
-                raise query.exception()
-            written = table_or_none(spark, out)
-            found = sorted(map(tuple, written.collect())) if written is not None else []
+            found = [tuple(r) for r in spark.table("idle_cuts").collect()]
     finally:
         query.stop()
     assert found == [("a", 0, 0, 0, 2, 3, 30, 1000, "idle")]
