@@ -104,6 +104,24 @@ def config_diff(spark, sf):
     return control.config_diff(old, new)
 
 
+@query("config_diff_all", with_clause("configs", "configs_next") + """
+, a AS (SELECT topic_name, version, schema_json, row_number() OVER w AS n FROM configs
+ WINDOW w AS (PARTITION BY topic_name ORDER BY version DESC NULLS LAST, schema_json DESC NULLS LAST)),
+b AS (SELECT topic_name, version, schema_json, row_number() OVER w AS n FROM configs_next
+ WINDOW w AS (PARTITION BY topic_name ORDER BY version DESC NULLS LAST, schema_json DESC NULLS LAST)),
+d AS (SELECT topic_name, 'REMOVED' AS change, version AS old_version, NULL AS new_version FROM a
+  WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.topic_name IS NOT DISTINCT FROM a.topic_name)
+ UNION ALL SELECT topic_name, 'ADDED', NULL, version FROM b
+  WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.topic_name IS NOT DISTINCT FROM b.topic_name)
+ UNION ALL SELECT a.topic_name, CASE WHEN a.schema_json IS NOT DISTINCT FROM b.schema_json THEN 'OTHER_CHANGED' ELSE 'SCHEMA_CHANGED' END,
+  a.version, b.version FROM a JOIN b ON a.topic_name IS NOT DISTINCT FROM b.topic_name
+  WHERE a.n = 1 AND b.n = 1 AND a.version IS DISTINCT FROM b.version)
+SELECT topic_name, change, old_version, new_version FROM d""")
+def config_diff_all(spark, sf):
+    """All rows of both snapshots: null, blank, overlong and repeated names too."""
+    return control.config_diff(derived(spark, sf, "configs"), derived(spark, sf, "configs_next"))
+
+
 # A change feed folded in SQL: validity, then states, with plain windows.
 FOLDED = with_clause("configs", "changes") + """
 , feed AS (

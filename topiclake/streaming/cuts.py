@@ -1,6 +1,6 @@
 """Batches of each (topic, partition) cut in the stream, by the topic's own rows, bytes and seconds.
 
-The open batch of a partition is kept as state of six numbers between micro-batches, so the cuts are those of
+The open batch of a partition is kept as state of seven numbers between micro-batches, so the cuts are those of
 `batching.greedy_batches` over all records at once, however the source deals them. Only offsets, sizes and times
 reach the state operator, never a payload.
 """
