@@ -61,6 +61,32 @@ def test_greedy_batches(spark, monkeypatch, block, fan_in):
     assert {k: sorted(v) for k, v in got.items()} == want
 
 
+@pytest.mark.parametrize("limits", [(10**9, 1200, 300), (10**9, 10**9, 5000), (10**9, 20_000, 10**9), (10**9, 10**9, 10**9),
+                                    (2**63 - 1, 2**63 - 1, 900), (40, 2000, 10**9)])
+def test_batches_over_many_blocks(spark, limits):
+    data = {("hot", 0): make(5, 600, False), (None, 1): make(6, 90, True), ("short", 0): make(8, 200, False),
+            ("exact", 0): [(i, 100, i) for i in range(64)], ("cold", 0): make(7, 1, True)}
+    flat = [(t, p, *r, *((7, 900, 300) if t == "short" else limits)) for (t, p), rows in data.items() for r in rows]
+    df = spark.createDataFrame(flat, "topic string, partition int, offset bigint, bytes bigint, ts_ms bigint, "
+                                     "flush_rows bigint, flush_bytes bigint, flush_ms bigint")
+    got = {}
+    for r in batching.greedy_batches(df, rows_per_block=16).collect():
+        got.setdefault((r["topic"], r["partition"]), []).append(
+            (r["batch_id"], r["start_offset"], r["end_offset"], r["record_count"], r["bytes"], r["first_ts_ms"], r["closed"]))
+    want = {k: [(i, *b) for i, b in enumerate(brute(rows, *((7, 900, 300) if k[0] == "short" else limits)))] for k, rows in data.items()}
+    assert {k: sorted(v) for k, v in got.items()} == want
+
+
+def test_one_outlier_closes_every_open_batch(spark):
+    rows = [(i, 10, 1000 if i != 150 else 10**7) for i in range(200)]
+    flat = [("t", 0, *r, 10**9, 10**9, 5000) for r in rows]
+    df = spark.createDataFrame(flat, "topic string, partition int, offset bigint, bytes bigint, ts_ms bigint, "
+                                     "flush_rows bigint, flush_bytes bigint, flush_ms bigint")
+    found = batching.greedy_batches(df, rows_per_block=16).orderBy("batch_id").collect()
+    assert [(r["start_offset"], r["end_offset"], r["closed"]) for r in found] == [(0, 150, True), (151, 199, False)]
+    assert batching.greedy_batches(df.limit(0)).count() == 0
+
+
 def test_assign_and_pending(spark):
     rows = [("t", 0, i, 10, 1000 * i) for i in range(10)]
     df = spark.createDataFrame(rows, "topic string, partition int, offset bigint, bytes bigint, ts_ms bigint")

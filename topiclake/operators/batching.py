@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -56,7 +58,7 @@ def named_files(batches: DataFrame, node: Column, created: Column) -> DataFrame:
 #
 # A batch closes on the record that reaches any threshold, and the next one starts after it, so a cut
 # depends on all cuts before it. Every row's own "batch would end here" is independent of that, and a
-# batch is never longer than flush_rows. A series is therefore cut into blocks of row numbers, each
+# batch is never longer than flush_rows; where that is at most a block, a series is cut into blocks of row numbers, each
 # block is reduced in parallel to a map "first batch start in this block -> first batch start in the
 # next one", maps are composed FAN_IN at a time, and the true starts are handed back down. No task
 # sees more than one block plus one batch of look-ahead, or FAN_IN maps.
@@ -186,28 +188,187 @@ def _entries(maps: DataFrame, blocks: int, types: str) -> DataFrame:
     )
 
 
+# --- batches longer than a block -------------------------------------------------------------------
+#
+# Where flush_rows exceeds a block, a batch may run over any number of blocks, so blocks keep their
+# length and a batch carries its thresholds over their borders: the row number, running bytes and time
+# that close it. Each block names the starts that may be open at its end (a start that is followed by
+# others inside the block is not one of them), finds by one line a block in which later block each of
+# them closes, and that block says where, and which start is open at its own end then. These steps
+# from open start to open start are followed from the first row by doubling: as many joins as the
+# number of blocks has binary digits. A task sees one block, one line for each block of its partition,
+# and the steps between two blocks.
+
+LANDING = ("node bigint, next_node bigint, target bigint, entry bigint, start_rn bigint, start_offset bigint, "
+           "start_total bigint, first_ts_ms bigint, end_rn bigint, end_offset bigint, end_total bigint")
+PROBE = ("sb bigint, node bigint, target bigint, at_rn bigint, at_total bigint, at_ms bigint, start_rn bigint, "
+         "start_offset bigint, start_total bigint, first_ts_ms bigint, end_rn bigint, end_offset bigint, end_total bigint")
+BATCH = ("start_rn bigint, start_offset bigint, end_offset bigint, record_count bigint, bytes bigint, "
+         "first_ts_ms bigint, closed boolean")
+FAR = 1 << 61
+
+
+def _names(ddl: str) -> list[str]:
+    return [*KEYS, *(part.split()[0] for part in ddl.split(", "))]
+
+
+def _long_block(pdf: pd.DataFrame) -> tuple[pd.DataFrame, tuple[int, int, int], np.ndarray, np.ndarray, np.ndarray]:
+    """A block in order, its thresholds, each start's successor, whether it closes here, and the start that is
+    open at the end for each start; the number of rows stands for a batch that would start in the next block."""
+    pdf = pdf.sort_values("rn", ignore_index=True)
+    limits = tuple(min(int(pdf[c].iloc[0]), FAR) for c in ("flush_rows", "flush_bytes", "flush_ms"))
+    after, closed = next_starts(pdf["bytes"].to_numpy(), pdf["ts_ms"].to_numpy(), *limits)
+    last = np.append(np.where(closed, after, np.arange(len(pdf))), len(pdf))
+    while True:
+        further = last[last]
+        if bool((further == last).all()):
+            return pdf, limits, after, closed, last
+        last = further
+
+
+def _open_starts(pdf: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+    """The starts that may be open at the end of a block, with the block that closes each (-1: none does)."""
+    pdf, limits, _, _, last = _long_block(pdf)
+    n, sb, rn = len(pdf), int(pdf["sb"].iloc[0]), pdf["rn"].to_numpy()
+    node = np.unique(last[:1] if sb == 0 else last)  # a batch from before may end with the block's last row
+    lines = pd.DataFrame(list(known["lines"].iloc[0])).sort_values("sb", ignore_index=True)
+    later = lines[lines["sb"] > sb]
+    if not len(later):
+        node = node[node < n]  # nothing follows
+    inside = np.minimum(node, n - 1)
+    total, size, ts = (pdf[c].to_numpy() for c in ("total", "bytes", "ts_ms"))
+    before = total[inside] - size[inside]
+    at = rn[inside] + limits[0] - 1, before + limits[1], ts[inside] + limits[2]
+    reached = [np.searchsorted(line, value, side="left") for line, value in zip(
+        (later["last_rn"].to_numpy(), later["total"].to_numpy(), np.maximum.accumulate(later["ts_ms"].to_numpy())), at)]
+    place = np.where(node < n, np.minimum.reduce(reached), 0)
+    target = np.append(later["sb"].to_numpy(), -1)[place]
+    end = lines.iloc[-1]
+    return pd.DataFrame({
+        "topic": pdf["topic"].iloc[0], "partition": pdf["partition"].iloc[0], "sb": sb,
+        "node": 2 * (rn[0] + node) + (node == n), "target": target, "at_rn": at[0], "at_total": at[1], "at_ms": at[2],
+        "start_rn": rn[inside], "start_offset": pdf["offset"].to_numpy()[inside], "start_total": before,
+        "first_ts_ms": ts[inside], "end_rn": end["last_rn"], "end_offset": end["offset"], "end_total": end["total"],
+    })[_names(PROBE)]
+
+
+def _landings(probes: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+    """Where starts of one block close in another one, and which start is open at the end of that one then."""
+    if not len(probes) or not len(rows):
+        return pd.DataFrame(columns=_names(LANDING))
+    pdf, _, _, _, last = _long_block(rows)
+    n, rn, total = len(pdf), pdf["rn"].to_numpy(), pdf["total"].to_numpy()
+    closes = np.minimum.reduce([np.searchsorted(line, probes[at].to_numpy(), side="left") for line, at in (
+        (rn, "at_rn"), (total, "at_total"), (np.maximum.accumulate(pdf["ts_ms"].to_numpy()), "at_ms"))])
+    fresh = probes["node"].to_numpy() % 2 == 1  # a batch that starts with this block
+    entry = np.where(fresh, 0, closes + 1)
+    closes, landed = np.where(fresh, 0, closes), last[entry]
+    return probes.assign(
+        next_node=2 * (rn[0] + landed) + (landed == n), entry=entry, end_rn=rn[closes],
+        end_offset=pdf["offset"].to_numpy()[closes], end_total=total[closes])[_names(LANDING)]
+
+
+def _cut_inside(rows: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
+    """The batches of a block, from its first true start on, that close in it."""
+    if not len(rows) or not len(entries):
+        return pd.DataFrame(columns=_names(BATCH))
+    pdf, _, after, closed, _ = _long_block(rows)
+    at, starts = int(entries["entry"].iloc[0]), []
+    while at < len(pdf) and closed[at]:
+        starts.append(at)
+        at = int(after[at])
+    starts = np.asarray(starts, dtype="int64")
+    ends, total, offset = after[starts] - 1, pdf["total"].to_numpy(), pdf["offset"].to_numpy()
+    return pd.DataFrame({
+        "topic": pdf["topic"].iloc[0], "partition": pdf["partition"].iloc[0], "start_rn": pdf["rn"].to_numpy()[starts],
+        "start_offset": offset[starts], "end_offset": offset[ends], "record_count": ends - starts + 1,
+        "bytes": total[ends] - total[starts] + pdf["bytes"].to_numpy()[starts],
+        "first_ts_ms": pdf["ts_ms"].to_numpy()[starts], "closed": True,
+    })[_names(BATCH)]
+
+
+def _at_node(left: DataFrame, right: DataFrame, column: str, how: str = "inner") -> DataFrame:
+    """Join on the partition, null or not, and on `column` of `left` = `node` of `right`, whose keys go."""
+    other = right.withColumnsRenamed({"node": "__node", **{k: f"__{k}" for k in KEYS}})
+    same = F.col(column) == F.col("__node")
+    for k in KEYS:
+        same &= F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return left.join(other, same, how).drop("__node", *[f"__{k}" for k in KEYS])
+
+
+def _followed(probes: DataFrame, landings: DataFrame, blocks: int) -> DataFrame:
+    """The open starts that are met from the first row on."""
+    reached = probes.filter("sb = 0").select(*KEYS, "node")
+    jumps = landings.select(*KEYS, "node", "next_node")
+    for _ in range(blocks.bit_length()):
+        onward = _at_node(reached, jumps, "node").select(*KEYS, F.col("next_node").alias("node"))
+        reached = written_table(reached.unionByName(onward), "reached")
+        twice = _at_node(jumps.withColumnRenamed("next_node", "middle"), jumps, "middle")
+        jumps = written_table(twice.select(*KEYS, "node", "next_node"), "jumps")
+    return reached
+
+
+def _spanning_batches(numbered: DataFrame, block_rows: int, blocks: int) -> DataFrame:
+    """Batches of numbered rows, however many blocks of `block_rows` each may run over."""
+    types = ", ".join(f"{k} {t}" for k, t in numbered.select(*KEYS).dtypes)
+    rows = numbered.withColumn("sb", F.floor(F.col("rn") / F.lit(block_rows)).cast("bigint"))
+    lines = rows.groupBy(*KEYS, "sb").agg(
+        F.max("rn").alias("last_rn"), F.max("total").alias("total"), F.max("ts_ms").alias("ts_ms"), F.max("offset").alias("offset"))
+    lines = lines.toDF(*lines.columns)  # columns of their own, since they meet the rows again
+    line = F.struct("sb", "last_rn", "total", "ts_ms", "offset")
+    known = lines.groupBy(*KEYS).agg(F.collect_list(line).alias("lines")).withColumn("sb", F.explode("lines.sb"))
+    grouped = rows.groupBy(*KEYS, "sb")
+    probes = written_table(grouped.cogroup(known.groupBy(*KEYS, "sb")).applyInPandas(_open_starts, f"{types}, {PROBE}"), "open-starts")
+
+    going = probes.filter("target >= 0")
+    pairs = going.select(*KEYS, F.col("target").alias("node"), F.col("sb").alias("origin")).distinct()
+    met = _at_node(rows, pairs, "sb")
+    landings = written_table(
+        going.withColumnRenamed("sb", "origin").groupBy(*KEYS, "origin", "target")
+        .cogroup(met.groupBy(*KEYS, "origin", "sb")).applyInPandas(_landings, f"{types}, {LANDING}"), "landings")
+
+    reached = _followed(probes, landings, blocks)
+    crossed = _at_node(landings, reached, "node", "left_semi")
+    first = lines.filter("sb = 0").select(*KEYS, "sb", F.lit(0).cast("bigint").alias("entry"))
+    entries = first.unionByName(crossed.select(*KEYS, F.col("target").alias("sb"), "entry"))
+    inside = grouped.cogroup(entries.groupBy(*KEYS, "sb")).applyInPandas(_cut_inside, f"{types}, {BATCH}")
+    left_open = _at_node(probes.filter("target < 0"), reached, "node", "left_semi")
+    across = crossed.filter("node % 2 = 0").withColumn("closed", F.lit(True)).unionByName(
+        left_open.withColumn("closed", F.lit(False)), allowMissingColumns=True)
+    return inside.unionByName(across.select(
+        *KEYS, "start_rn", "start_offset", "end_offset", (F.col("end_rn") - F.col("start_rn") + 1).alias("record_count"),
+        (F.col("end_total") - F.col("start_total")).alias("bytes"), "first_ts_ms", "closed"))
+
+
+def _short_batches(numbered: DataFrame, block_rows: int, blocks: int) -> DataFrame:
+    """Batches of numbered rows whose flush_rows is at most `block_rows`."""
+    types = ", ".join(f"{k} {t}" for k, t in numbered.select(*KEYS).dtypes)
+    size = F.lit(block_rows).cast("bigint")
+    own = F.floor(F.col("rn") / F.col("size")).cast("bigint")
+    ahead = F.when((F.col("rn") - own * F.col("size") < F.col("flush_rows")) & (own > 0), own - 1)
+    spread = numbered.withColumn("size", size).withColumn("sb", F.explode(F.array_compact(F.array(own, ahead))))
+    grouped = spread.groupBy(*KEYS, "sb")
+    maps = grouped.applyInPandas(_start_map, f"{types}, sb bigint, starts array<int>")
+    entries = _entries(maps, blocks, types)
+    return grouped.cogroup(entries.groupBy(*KEYS, "sb")).applyInPandas(_cut, f"{types}, {BATCH}")
+
+
 def greedy_batches(rows: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """Manifest of batches that close on the record reaching flush_rows, flush_bytes or flush_ms.
 
     `rows`: topic, partition, offset (unique per partition), bytes, ts_ms and the three thresholds,
     which are constant within a topic. The age of a batch is record time since its first record. The
     last batch of a partition is open (`closed` false) unless a threshold fell on its last record.
+    No task sees more than two blocks of `rows_per_block` rows, whatever the thresholds are.
     """
-    numbered = written_table(row_positions(rows, KEYS, "offset", "rn"), "batch-rows")
-    types = ", ".join(f"{k} {t}" for k, t in numbered.select(*KEYS).dtypes)
-    size = F.greatest(F.lit(rows_per_block), F.col("flush_rows")).cast("bigint")
-    own = F.floor(F.col("rn") / F.col("size")).cast("bigint")
-    ahead = F.when((F.col("rn") - own * F.col("size") < F.col("flush_rows")) & (own > 0), own - 1)
-    spread = numbered.withColumn("size", size).withColumn("sb", F.explode(F.array_compact(F.array(own, ahead))))
-    blocks = numbered.select(F.max(F.floor(F.col("rn") / size))).first()[0]
-    grouped = spread.groupBy(*KEYS, "sb")
-    maps = grouped.applyInPandas(_start_map, f"{types}, sb bigint, starts array<int>")
-    entries = _entries(maps, (blocks or 0) + 1, types)
-    cut = grouped.cogroup(entries.groupBy(*KEYS, "sb")).applyInPandas(
-        _cut,
-        f"{types}, start_rn bigint, start_offset bigint, end_offset bigint, record_count bigint, bytes bigint, "
-        "first_ts_ms bigint, closed boolean",
-    )
+    seen = running(rows, KEYS, ["offset"], offset_block("offset"), [
+        Running("rn", "sum", F.lit(1).cast("bigint")), Running("total", "sum", F.col("bytes"))])
+    numbered = written_table(seen.withColumn("rn", F.col("rn") - 1), "batch-rows")
+    long = F.col("flush_rows") > rows_per_block
+    ends = {r["long"]: r["rn"] for r in numbered.groupBy(long.alias("long")).agg(F.max("rn").alias("rn")).collect()}
+    parts = [make(numbered.filter(long if kind else ~long), rows_per_block, ends[kind] // rows_per_block + 1)
+             for kind, make in ((False, _short_batches), (True, _spanning_batches)) if kind in ends]
+    cut = reduce(DataFrame.unionByName, parts) if parts else _short_batches(numbered, rows_per_block, 1)
     counted = running(cut, KEYS, ["start_rn"], offset_block("start_rn"),
                       [Running("n", "sum", F.lit(1).cast("bigint"))])
     return counted.withColumn("batch_id", F.col("n") - 1).drop("n", "start_rn")

@@ -317,13 +317,16 @@ def flush_manifest(spark, sf):
 
 
 GREEDY_ROWS, GREEDY_BYTES, GREEDY_SEC = 40, 3000, 172800
-GREEDY = with_clause("clean_events_env", recursive=True) + f"""
+
+
+def greedy_sql(rows: int, size: int, seconds: int) -> str:
+    return with_clause("clean_events_env", recursive=True) + f"""
 , r AS (SELECT topic, part, off, epoch_us(ts) // 1000 AS ms, octet_length(encode(value)) AS size,
  row_number() OVER w - 1 AS rn, sum(octet_length(encode(value))) OVER (w ROWS UNBOUNDED PRECEDING) AS total
  FROM clean_events_env WINDOW w AS (PARTITION BY topic, part ORDER BY off)),
 stops AS (SELECT a.topic, a.part, a.rn, min(b.rn) AS stop FROM r a JOIN r b ON a.topic = b.topic AND a.part = b.part
- AND b.rn BETWEEN a.rn AND a.rn + {GREEDY_ROWS - 1}
- AND (b.rn = a.rn + {GREEDY_ROWS - 1} OR b.total - a.total + a.size >= {GREEDY_BYTES} OR b.ms >= a.ms + {GREEDY_SEC * 1000})
+ AND b.rn BETWEEN a.rn AND a.rn + {rows - 1}
+ AND (b.rn = a.rn + {rows - 1} OR b.total - a.total + a.size >= {size} OR b.ms >= a.ms + {seconds * 1000})
  GROUP BY a.topic, a.part, a.rn),
 walk AS (SELECT topic, part, CAST(0 AS BIGINT) AS rn, CAST(0 AS BIGINT) AS batch_id FROM r WHERE rn = 0
  UNION ALL
@@ -336,6 +339,9 @@ batches AS (SELECT c.topic, c.part, c.batch_id, min(r.off) AS start_offset, max(
  FROM cuts c JOIN r ON r.topic = c.topic AND r.part = c.part AND r.rn BETWEEN c.lo AND c.hi GROUP BY c.topic, c.part, c.batch_id)"""
 
 
+GREEDY = greedy_sql(GREEDY_ROWS, GREEDY_BYTES, GREEDY_SEC)
+
+
 def _greedy(spark, sf):
     records = envelope(spark, sf, "clean_events_env")
     return batching.greedy_batches(
@@ -347,6 +353,17 @@ def flush_greedy(spark, sf):
     return _short(_greedy(spark, sf))
 
 
+LONG_ROWS, LONG_BYTES, LONG_SEC = 10**9, 30_000, 3_000_000
+
+
+@query("flush_greedy_long", greedy_sql(LONG_ROWS, LONG_BYTES, LONG_SEC) + " SELECT * FROM batches")
+def flush_greedy_long(spark, sf):
+    """Rows close no batch; blocks are short here, so that batches of any size of the table run over several."""
+    records = envelope(spark, sf, "clean_events_env")
+    rows = batching.batch_rows(records, F.lit(LONG_ROWS), F.lit(LONG_BYTES), F.lit(LONG_SEC))
+    return _short(batching.greedy_batches(rows, rows_per_block=64))
+
+
 @query("pending_batches", GREEDY + """
 SELECT topic, part, record_count AS rows, bytes, CAST(floor((epoch_us(TIMESTAMP '2024-03-01 00:00:00') // 1000 - first_ts_ms) / 1000) AS BIGINT) AS age_sec
 FROM batches WHERE NOT closed""")
