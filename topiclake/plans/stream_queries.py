@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from topiclake.operators import batching
 from topiclake.plans.monitor_queries import LATEST
-from topiclake.plans.recipes import derived, envelope, with_clause
+from topiclake.plans.recipes import derived, envelope, table, with_clause
 from topiclake.plans.record_queries import GREEDY, GREEDY_BYTES, GREEDY_ROWS, GREEDY_SEC
 from topiclake.plans.registry import query
 from topiclake.session import scratch_path
+from topiclake.sources import landed, sinks
 from topiclake.sources.envelope import stream_envelope
 from topiclake.sources.snapshot import read_snapshot, upsert
 from topiclake.streaming.cuts import stream_cuts as cut_stream
@@ -94,3 +95,23 @@ def heartbeat_upsert(spark, sf):
     for n in (2, 0, 1):
         upsert(log.filter(turn == n), path, ["node_id"], "last_heartbeat")
     return read_snapshot(spark, path).select("*", F.unix_micros("last_heartbeat").alias("at_us")).drop("last_heartbeat")
+
+
+@query("compact_landed", """
+SELECT event_id, user_id, event_type, value, epoch_us(CAST(ts AS TIMESTAMP)) AS at_us, strftime(CAST(ts AS TIMESTAMP), 'm%Y%m') AS month FROM events""")
+def compact_landed(spark, sf):
+    """Twelve batches land; the first eight are merged and removed, then all, and one merge stops before its commit."""
+    path = scratch_path(spark, "landed")
+    at = F.col("ts").cast("timestamp")
+    rows = table(spark, sf, "events").select(
+        "event_id", "user_id", "event_type", "value", F.unix_micros(at).alias("at_us"), F.date_format(at, "'m'yyyyMM").alias("month"),
+        F.format_string("run-%09d", F.pmod("event_id", F.lit(12))).alias("batch"))
+    by = ("month", "batch")
+    late = F.col("batch") >= "run-000000008"
+    sinks.write_parquet(rows.filter(~late).hint("rebalance", *by), path, partition_by=by)
+    landed.compact_landed(spark, path, F.lit(True))
+    landed.clean(spark, path)
+    sinks.write_parquet(rows.filter(late).hint("rebalance", *by), path, partition_by=by)
+    landed.compact_landed(spark, path, F.col("batch") < "run-000000011")
+    landed.stage(spark, path, landed.plan(spark, path, F.lit(True)), "stopped")
+    return landed.landed(spark, path).drop("batch")
