@@ -146,7 +146,7 @@ def throttle_flag(usage: DataFrame, key: str, at: str, ratio: str) -> DataFrame:
     return seen.withColumns({"throttled": F.coalesce("throttled", F.lit(False)), "critical": r >= C.CRITICAL_AT})
 
 
-def alert_hold(samples: DataFrame, key: str, at: str, breach: Column, hold_sec: int) -> DataFrame:
+def alert_hold(samples: DataFrame, key: str, at: str, breach: Column, hold_sec: int | Column) -> DataFrame:
     """Samples with `breach_since` (start of the unbroken breach) and whether it has lasted `hold_sec`."""
     marked = samples.withColumn("breach", F.coalesce(breach, F.lit(False)))
     first = running(marked, [key], [at], time_block(at), [
@@ -160,7 +160,7 @@ def alert_hold(samples: DataFrame, key: str, at: str, breach: Column, hold_sec:
         "firing", F.coalesce(held, F.lit(False))).drop("since", "was_breach")
 
 
-def alert_increase(samples: DataFrame, key: str, at: str, counter: str, window_sec: int, limit: float) -> DataFrame:
+def alert_increase(samples: DataFrame, key: str, at: str, counter: str, window_sec: int | Column, limit: float | Column) -> DataFrame:
     """Samples with the counter's increase over the look-back window and whether it exceeds `limit`.
 
     Linear in the samples, and no window over a whole series: time is cut into blocks one look-back
@@ -197,3 +197,37 @@ def file_size_audit(listing: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("files"), F.sum(size).alias("total_bytes"), F.avg(size).alias("avg_bytes"),
         F.count_if(size < C.MIN_FILE_BYTES).alias("too_small"), F.count_if(size > C.MAX_FILE_BYTES).alias("too_large"),
     )
+
+
+# --- alert rules as data -----------------------------------------------------------------------------
+
+RULE_COLUMNS = "alert string, metric string, kind string, threshold double, window_sec bigint, hold_sec bigint, severity string"
+# The published rules. A `value` rule breaches while the metric is above the threshold, an `increase`
+# rule while its rise over the window is; a breach fires once it has lasted `hold_sec`.
+ALERT_RULES = [
+    ("ConsumerLagHigh", "consumer_lag", "value", 300000.0, None, 300, "warning"),
+    ("FrequentRebalance", "rebalance_count", "increase", 3.0, 1800, 0, "warning"),
+    ("BufferNearFull", "buffer_usage_ratio", "value", 0.8, None, 120, "critical"),
+    ("FlushFailure", "flush_failure_total", "increase", 0.0, 300, 0, "critical"),
+    ("PartitionsPaused", "paused_partitions", "value", 0.0, None, 60, "critical"),
+]
+
+
+def alert_rules(samples: DataFrame, rules: DataFrame) -> DataFrame:
+    """Every sample of every rule's series with whether it breaches, since when, and whether the rule fires.
+
+    `samples`: metric, series, at, value, one a series and time. `rules`: RULE_COLUMNS, one line an alert; several
+    rules may watch one metric. A rule of another `kind`, an increase without a window and a metric without samples
+    give no rows; a null value or threshold is no breach, no `hold_sec` is none. However many rules there are, each
+    pass is one: samples meet their rules by metric, and each (alert, series) is a series of its own with the window
+    and hold of its rule as columns.
+    """
+    known = rules.filter("kind = 'value' OR kind = 'increase' AND window_sec > 0").withColumnRenamed("metric", "__metric")
+    watched = samples.join(broadcast_if_small(known), F.col("metric") == F.col("__metric"))
+    watched = watched.withColumn("__watch", F.struct("alert", "series")).drop("__metric")
+    level = watched.filter("kind = 'value'").withColumn("measure", F.col("value"))
+    rising = alert_increase(written_table(watched.filter("kind = 'increase'"), "rising"), "__watch", "at", "value",
+                            F.col("window_sec"), F.col("threshold"))
+    measured = written_table(level.unionByName(rising.withColumnRenamed("increase", "measure").drop("firing")), "measured")
+    held = alert_hold(measured, "__watch", "at", F.col("measure") > F.col("threshold"), F.coalesce("hold_sec", F.lit(0)))
+    return held.select("alert", "severity", "series", "at", "value", "measure", "breach", "breach_since", "firing")

@@ -173,6 +173,71 @@ def audit_log(spark, sf):
         F.get_json_object("new_value", "$.sink_path").alias("new_path"))
 
 
+# The same fold over every column that a change may carry: the content of a configuration is one struct.
+KEPT = [*control.IDENTITY, *control.MUTABLE]
+WHOLE = with_clause("configs", "changes") + f"""
+, feed AS (
+ SELECT CAST(-1 AS BIGINT) AS seq, id AS config_id, 'LOAD' AS action, NULL AS operator, updated_at AS changed_at, status AS st, version AS v,
+  {", ".join("coalesce(topic_name, '') AS topic_name" if c == "topic_name" else c for c in KEPT)} FROM configs
+ UNION ALL SELECT seq, config_id, action, operator, changed_at, NULL, NULL, {", ".join(KEPT)} FROM changes),
+marked AS (SELECT *, last_value(CASE WHEN action IN ('LOAD', 'CREATE') THEN 1 WHEN action = 'DELETE' THEN 0 END IGNORE NULLS)
+ OVER (PARTITION BY config_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS alive FROM feed),
+ok AS (SELECT * FROM marked WHERE CASE WHEN action IN ('LOAD', 'CREATE') THEN coalesce(alive, 0) = 0 ELSE coalesce(alive, 0) = 1 END),
+lives AS (SELECT *, sum(CASE WHEN action IN ('LOAD', 'CREATE') THEN 1 ELSE 0 END) OVER (PARTITION BY config_id ORDER BY seq ROWS UNBOUNDED PRECEDING) AS life FROM ok),
+states AS (SELECT config_id, seq, action, operator, changed_at, life, {", ".join(f"first_value({c}) OVER w AS {c}" for c in control.IDENTITY)},
+ last_value(CASE WHEN action IN ('LOAD', 'CREATE', 'UPDATE') THEN struct_pack({", ".join(f"{c} := {c}" for c in control.MUTABLE)}) END IGNORE NULLS) OVER w AS content,
+ last_value(CASE action WHEN 'LOAD' THEN st WHEN 'CREATE' THEN 'ACTIVE' WHEN 'RESUME' THEN 'ACTIVE' WHEN 'PAUSE' THEN 'PAUSED' END IGNORE NULLS) OVER w AS status,
+ CAST(first_value(coalesce(v, 1)) OVER w + sum(CASE WHEN action IN ('UPDATE', 'PAUSE', 'RESUME') THEN 1 ELSE 0 END) OVER w AS INTEGER) AS version
+ FROM lives WINDOW w AS (PARTITION BY config_id, life ORDER BY seq ROWS UNBOUNDED PRECEDING))"""
+
+
+@query("apply_changes_all", WHOLE + f"""
+SELECT config_id AS id, {", ".join(control.IDENTITY)}, {", ".join(f"content.{c} AS {c}" for c in control.MUTABLE)}, status, version,
+ epoch_us(changed_at) // 1000 AS updated_ms
+FROM (SELECT *, row_number() OVER (PARTITION BY config_id ORDER BY seq DESC) AS n FROM states) WHERE n = 1 AND action <> 'DELETE'""")
+def apply_changes_all(spark, sf):
+    """Whole configurations after the change feed."""
+    after = control.apply_changes(*_feed(spark, sf))
+    return after.withColumn("updated_ms", F.unix_millis("updated_at")).drop("updated_at")
+
+
+TOLD_OF = [*control.MUTABLE, "match_type", "status"]
+
+
+def _side(side: str, actions: str, source: dict[str, str]) -> str:
+    return ", ".join(f"CASE WHEN action IN ({actions}) THEN CAST({source[c]} AS VARCHAR) END AS {side}_{c}" for c in [*TOLD_OF, "version"])
+
+
+@query("audit_log_all", WHOLE + f"""
+, pairs AS (SELECT *, lag(content) OVER p AS content0, lag(status) OVER p AS status0, lag(version) OVER p AS version0
+ FROM states WINDOW p AS (PARTITION BY config_id, life ORDER BY seq))
+SELECT seq AS id, config_id, topic_name, CASE action WHEN 'CREATE' THEN 'CREATED' WHEN 'UPDATE' THEN 'UPDATED' WHEN 'DELETE' THEN 'DELETED'
+ WHEN 'PAUSE' THEN 'PAUSED' ELSE 'RESUMED' END AS change_type, coalesce(operator, 'system') AS operator, epoch_us(changed_at) // 1000 AS created_ms,
+ {_side("old", "'UPDATE', 'DELETE'", {**{c: f"content0.{c}" for c in control.MUTABLE}, "match_type": "match_type", "status": "status0", "version": "version0"})},
+ {_side("new", "'CREATE', 'UPDATE'", {**{c: f"content.{c}" for c in control.MUTABLE}, "match_type": "match_type", "status": "status", "version": "version"})}
+FROM pairs WHERE action <> 'LOAD'""")
+def audit_log_all(spark, sf):
+    """Every column of both sides of each logged change, as the text in its JSON."""
+    log = control.audit_log(*_feed(spark, sf))
+    sides = [F.get_json_object(f"{side}_value", f"$.{c}").alias(f"{side}_{c}") for side in ("old", "new") for c in [*TOLD_OF, "version"]]
+    return log.select("id", "config_id", "topic_name", "change_type", "operator", F.unix_millis("created_at").alias("created_ms"), *sides)
+
+
+# Ingestion also takes ZSTD, which the editor's check does not offer.
+INGEST_ERRORS = CONFIG_ERRORS.replace("('SNAPPY', 'GZIP', 'NONE')", "('SNAPPY', 'GZIP', 'ZSTD', 'NONE')").replace(
+    "[SNAPPY, GZIP, NONE]", "[SNAPPY, GZIP, ZSTD, NONE]")
+
+
+@query("refused_configs", with_clause("configs") + f"""
+, full_ AS (SELECT * REPLACE (coalesce(upper(sink_format), 'PARQUET') AS sink_format,
+ coalesce(upper(compression), CASE WHEN coalesce(upper(sink_format), 'PARQUET') = 'CSV' THEN 'NONE' ELSE 'SNAPPY' END) AS compression) FROM configs)
+SELECT id, topic_name, array_to_string({INGEST_ERRORS}, '; ') AS errors FROM full_ WHERE len({INGEST_ERRORS}) > 0""")
+def refused_configs(spark, sf):
+    """What ingestion would not use, with the reasons."""
+    refused = control.checked_configs(derived(spark, sf, "configs"))[1]
+    return refused.select("id", "topic_name", F.concat_ws("; ", "errors").alias("errors"))
+
+
 def _told(df):
     return df.select("id", "config_id", "topic_name", "change_type", F.unix_millis("created_at").alias("created_ms"))
 

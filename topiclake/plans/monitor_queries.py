@@ -200,6 +200,37 @@ def alert_increase(spark, sf):
     return _ms(monitor.alert_increase(samples, "k", "at", "counter", WINDOW_SEC, 200))
 
 
+def _judged(alert: str, metric: str, kind: str, threshold: float, window: int | None, hold: int, severity: str) -> str:
+    """One rule over the samples, in SQL."""
+    frame = f"OVER (PARTITION BY series ORDER BY t RANGE BETWEEN INTERVAL '{window}' SECOND PRECEDING AND CURRENT ROW)"
+    measure = "value" if kind == "value" else f"max(value) {frame} - min(value) {frame}"
+    return f"""SELECT '{alert}' AS alert, '{severity}' AS severity, {hold} AS hold, series, t, value, measure, measure > {threshold} AS breach
+ FROM (SELECT *, {measure} AS measure FROM samples WHERE metric = '{metric}')"""
+
+
+# Time runs sixty times as fast, so that samples lie near one another; metrics are spread over the thresholds.
+METRICS = {"consumer_lag": "CAST(counter % 7 * 60000 AS DOUBLE)", "rebalance_count": "CAST(floor(counter / 40) AS DOUBLE)",
+           "buffer_usage_ratio": "CAST(counter % 11 AS DOUBLE) / 10", "flush_failure_total": "CAST(floor(counter / 90) AS DOUBLE)",
+           "paused_partitions": "CAST(counter % 3 AS DOUBLE)"}
+
+
+@query("alert_rules", SERIES + f"""
+, s AS (SELECT k AS series, make_timestamp(epoch_us(t) // 60) AS t, counter FROM c),
+samples AS ({" UNION ALL ".join(f"SELECT '{m}' AS metric, series, t, {v} AS value FROM s" for m, v in METRICS.items())}),
+judged AS ({" UNION ALL ".join(_judged(*rule) for rule in monitor.ALERT_RULES)}),
+m AS (SELECT *, sum(CASE WHEN breach THEN 0 ELSE 1 END) OVER (PARTITION BY alert, series ORDER BY t ROWS UNBOUNDED PRECEDING) AS island FROM judged),
+b AS (SELECT *, CASE WHEN breach THEN min(CASE WHEN breach THEN t END) OVER (PARTITION BY alert, series, island) END AS since FROM m)
+SELECT alert, severity, series, epoch_us(t) AS at_us, value, measure, breach, epoch_us(since) AS since_us,
+ coalesce(epoch_us(t) - epoch_us(since) >= hold * CAST(1000000 AS BIGINT), false) AS firing FROM b""")
+def alert_rules(spark, sf):
+    """The published rules over metrics of every node."""
+    rows = _series(spark, sf, "counter").withColumn("at", F.timestamp_micros(F.floor(F.unix_micros("at") / 60)))
+    metrics = F.explode(F.create_map(*[c for m, v in METRICS.items() for c in (F.lit(m), F.expr(v))])).alias("metric", "value")
+    samples = rows.select(F.col("k").alias("series"), "at", metrics)
+    found = monitor.alert_rules(samples, spark.createDataFrame(monitor.ALERT_RULES, monitor.RULE_COLUMNS))
+    return found.withColumns({"at_us": F.unix_micros("at"), "since_us": F.unix_micros("breach_since")}).drop("at", "breach_since")
+
+
 @query("file_size_audit", """
 SELECT DISTINCT 'y=' || year(o_orderdate) AS directory, true AS sizes_agree, CAST(0 AS BIGINT) AS fit, CAST(0 AS BIGINT) AS too_large FROM orders""")
 def file_size_audit(spark, sf):
