@@ -14,6 +14,16 @@ CASES = [
     ("<p hidden>no</p><p style='color:red; display : none'>no</p>yes", "yes"),
     ("<style>.ad, #x{display:none} p.q{display:none}</style><div class='b ad'>n</div><p id=x>n</p><p class=q>n</p><b class=q>y</b>", "y"),
     ("<div style='visibility:hidden'>no<b style='visibility:visible'>yes</b></div>", "yes"),
+    ("<style>@media print { .m { display:none } } @import 'x'; .n{display:none}</style><p class=m>y</p><p class=n>no</p>", "y"),
+    ("<style>@media screen, print { .m { display:none } } .k{x:y}</style><p class=m>no</p>y", "y"),
+    ("<style>@media (max-width:9px) { .m { display:none } @supports (a:b) { p{display:none} } } .n{display:none}</style><p class=m>y<p class=n>no", "y"),
+    ("<style media=print>p{display:none}</style><p>y", "y"), ("<style>.x{display:none} .x{display:block}</style><p class=x>y", "y"),
+    ("<style>#a{display:block} .x{display:none} p{display:none}</style><p class=x id=a>y<p class=x>no", "y"),
+    ("<style>.x{display:none !important} #a{display:block}</style><p class=x id=a style='display:block'>no</p>y", "y"),
+    ("<style>.v{visibility:hidden} b{visibility:visible}</style><p class=v>no<b>yes</b></p>", "yes"),
+    ("<style>.a .b{display:none}</style><div class=a><p><i class=b>no</i>y</p></div><i class=b>z</i>", "y\n\nz"),
+    ("<style>.a > .b{display:none} p.q.r{display:none}</style><div class=a><i class=b>no</i><p class='r q'>no</p><u><i class=b>y</i></u></div><p class=q>z", "y\n\nz"),
+    ("<style>.x{display:none}</style><p class=x style='display:block'>y", "y"), ("<style>a:hover{display:none} p{display:none</style><a>y</a><p>no", "y"),
     ("<ul><li>a<li>b<ul><li>c</ul><li>d</ul>e", "* a\n* b\n  * c\n* d\n\ne"),
     ("<ol start=3><li>a<li value=9>b<li>c</ol>", "3. a\n9. b\n10. c"), ("<ol reversed><li>a<li>b</ol>", "2. a\n1. b"),
     ("<ul><li><p>a</p><p>b</p></li></ul>", "* a\n\n  b"),
@@ -39,6 +49,8 @@ def test_layout(html, want):
 def test_hostile_pages_end_soon():
     assert text_of("<div>" * 50_000 + "x") == "x"
     assert text_of("<table><tr><td>" * 3000 + "x").strip() == "x"
+    assert text_of("<style>" + ".a div i, .b > div p {display:none}" * 20 + "</style>" + "<div class=a>" * 50_000 + "x") == "x"
+    assert text_of("<style>" + "@media print {" * 20_000 + "p{display:none}" + "</style><p>x") == "x"
     assert text_of("<b>" * 20_000 + "<p>y" * 2000).count("y") == 2000
     assert text_of("<" * 100_000) == "<" * 100_000
     assert text_of("<a '" * 50_000) == ""

@@ -42,9 +42,10 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"([^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
 OPENING = re.compile(r"<[a-zA-Z]")
 SPACE = re.compile(r"[ \t\n\f\r]+")
-RULE = re.compile(r"([^{}]*)\{([^{}]*)\}")
-SIMPLE = re.compile(r"([a-zA-Z][\w-]*)?([.#][\w-]+)?\Z")
-NOTHING = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
+SIMPLE = re.compile(r"(\*|[a-zA-Z][\w-]*)?((?:[.#][\w-]+)*)\Z")
+SAID = re.compile(r"(?:^|;)\s*(display(?=\s*:\s*[a-zA-Z])|visibility(?=\s*:\s*(?:hidden|collapse|visible)\b))\s*:\s*([a-zA-Z-]+)[^;!]*(!\s*important)?(?=\s*(?:;|\Z))", re.I)
+DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([a-zA-Z-]+)", re.I)
+NOT_STYLED = {}  # no element writes to it
 VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(hidden|collapse|visible)\b", re.I)
 KEPT_SPACE = re.compile(r"(?:^|;)\s*white-space\s*:\s*(?:pre|pre-wrap|break-spaces)\b", re.I)
 INDENTS = 40  # deeper items hang no further
@@ -53,10 +54,10 @@ PAD = 60  # wider columns are not padded, so a huge cell costs its own size alon
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "said")
 
     def __init__(self, tag: str, attrs: dict):
-        self.tag, self.attrs, self.children = tag, attrs, []
+        self.tag, self.attrs, self.children, self.said = tag, attrs, [], NOT_STYLED
 
 
 def _attributes(text: str) -> dict:
@@ -185,11 +186,12 @@ def parse(html: str) -> Builder:
         at = found.end()
         if found["start"]:
             name = found["start"].lower()
-            builder.start(name, _attributes(found["attrs"]))
+            attrs = _attributes(found["attrs"])
+            builder.start(name, attrs)
             if name in RAW or name in ESCAPABLE:
                 close = re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(html, at)
                 inside = html[at:close.start() if close else size]
-                if name == "style":
+                if name == "style" and for_screen(attrs.get("media", "")):
                     builder.sheets.append(inside)
                 elif inside and name == "textarea":
                     builder.text(inside[1:] if inside[0] == "\n" else inside)
@@ -200,36 +202,101 @@ def parse(html: str) -> Builder:
     return builder
 
 
-def hidden_selectors(sheets: list[str]) -> set[tuple[str, str]]:
-    """(tag, class or id) of the simple selectors that style sheets set to display nothing."""
-    out = set()
+def rules_of(sheets: list[str]) -> Iterator[tuple[str, str]]:
+    """(selectors, declarations) in order. Blocks of `@media` for all media or the screen, without further conditions,
+    count; those of other at-rules do not."""
     for sheet in sheets:
-        for selectors, body in RULE.findall(re.sub(r"/\*.*?(?:\*/|\Z)", "", sheet, flags=re.S)):
-            if NOTHING.search(body):
-                for selector in selectors.split(","):
-                    simple = SIMPLE.match(selector.strip())
-                    if simple and simple[0]:
-                        out.add(((simple[1] or "").lower(), simple[2] or ""))
-    return out
+        text, at = re.sub(r"/\*.*?(?:\*/|\Z)", "", sheet, flags=re.S), 0
+        while stop := re.compile(r"[{};]").search(text, at):
+            head, at = text[at:stop.start()].strip(), stop.end()
+            if stop[0] != "{":
+                continue  # the end of a block that counts, or of a statement
+            if head.startswith("@"):
+                name, _, media = head.partition(" ")
+                if name.lower() != "@media" or not for_screen(media):
+                    depth = 1
+                    while depth and (brace := re.compile(r"[{}]").search(text, at)):
+                        depth, at = depth + (1 if brace[0] == "{" else -1), brace.end()
+                    at = len(text) if depth else at
+                continue
+            end = text.find("}", at)
+            end = len(text) if end < 0 else end
+            yield head, text[at:end]
+            at = end + 1
+
+
+def for_screen(media: str) -> bool:
+    return any(m.strip().lower() in ("", "all", "screen", "only screen", "only all") for m in media.split(","))
+
+
+class Cascade:
+    """What style sheets say of display and visibility. Selectors of tags, classes and ids, alone, together, as
+    descendants or as children, are read, all others passed over. The most specific rule wins, of equal ones the last."""
+
+    def __init__(self, sheets: list[str]):
+        self.by_key = {}  # tag, class or id -> (selector, place in it, tag, names, is a child, is the last)
+        self.said = []  # of each selector: (property, rank, value)
+        for selectors, body in rules_of(sheets):
+            told = [(m[1].lower(), m[2].lower(), bool(m[3])) for m in SAID.finditer(body)]
+            for selector in selectors.split(",") if told else ():
+                self._add(selector, told)
+
+    def _add(self, selector: str, told: list) -> None:
+        parts, child = [], False
+        for word in re.findall(r">|[^\s>]+", selector):
+            if word == ">":
+                child = True
+                continue
+            simple = SIMPLE.match(word)
+            if not simple:
+                return
+            tag = (simple[1] or "*").lower()
+            parts.append((tag, frozenset(re.findall(r"[.#][\w-]+", simple[2])), child))
+            child = False
+        if not parts or child:
+            return
+        number, names = len(self.said), [n for _, own, _ in parts for n in own]
+        weight = sum(n[0] == "#" for n in names), sum(n[0] == "." for n in names), sum(t != "*" for t, _, _ in parts)
+        self.said.append([(prop, (important, weight, number), value) for prop, value, important in told])
+        for place, (tag, own, is_child) in enumerate(parts):
+            key = min(own) if own else tag
+            self.by_key.setdefault(key, []).append((number, place, tag, own, is_child, place == len(parts) - 1))
+
+    def apply(self, root: Node) -> None:
+        """Give each element what holds for it, from the top down; an element knows the selectors begun above it."""
+        if not self.said:
+            return
+        walk = [(root, frozenset(), frozenset())]
+        while walk:
+            node, above, parent = walk.pop()
+            a = node.attrs
+            names = {*("." + c for c in a.get("class", "").split()), *(["#" + a["id"]] if a.get("id") else [])}
+            here, best = set(), {}
+            for key in (node.tag, "*", *names):
+                for number, place, tag, own, is_child, is_last in self.by_key.get(key, ()):
+                    if tag in ("*", node.tag) and own <= names and (place == 0 or (number, place - 1) in (parent if is_child else above)):
+                        here.add((number, place))
+                        for prop, rank, value in self.said[number] if is_last else ():
+                            if prop not in best or rank >= best[prop][0]:
+                                best[prop] = rank, value
+            node.said = {prop: (value, rank[0]) for prop, (rank, value) in best.items()}
+            below = above | here if here else above
+            walk.extend((c, below, frozenset(here)) for c in node.children if not isinstance(c, str))
 
 
 class Renderer:
     """Turns a tree into lines. Blocks start lines, some with a blank line around them; items get bullets or
     numbers and hang; cells of a row stand side by side in columns of even width."""
 
-    def __init__(self, hidden: set):
-        self.hidden = hidden
-
     def shown(self, node: Node) -> bool:
         a, tag = node.attrs, node.tag
         if tag in HIDDEN or "hidden" in a or tag == "dialog" and "open" not in a or tag == "input" and a.get("type", "").lower() == "hidden":
             return False
-        if "style" in a and NOTHING.search(a["style"]):
-            return False
-        if self.hidden:
-            names = ["", *("." + c for c in a.get("class", "").split()), *(["#" + a["id"]] if a.get("id") else [])]
-            return not any((t, n) in self.hidden for n in names for t in (tag, "") if t or n)
-        return True
+        value, important = node.said.get("display", ("", False))
+        if "style" in a and not important:
+            inline = DISPLAY.findall(a["style"])
+            value = inline[-1].lower() if inline else value
+        return value != "none"
 
     def render(self, top: Node, visible: bool = True, depth: int = 0) -> list[str]:
         """The lines of a subtree, by a walk with a stack of its own."""
@@ -248,9 +315,12 @@ class Renderer:
 
     def _enter(self, node, visible, kept, depth, out, walk, is_top):
         tag, style = node.tag, node.attrs.get("style")
+        if "visibility" in node.said:
+            visible = node.said["visibility"][0] == "visible"
         if style:
             seen = VISIBILITY.search(style)
-            visible = seen[1].lower() == "visible" if seen else visible
+            if seen and not node.said.get("visibility", ("", False))[1]:
+                visible = seen[1].lower() == "visible"
             kept = kept or bool(KEPT_SPACE.search(style))
         kept = kept or tag in ("pre", "textarea", "listing")
         if tag == "br":
@@ -492,7 +562,8 @@ def text_of(html: str | None) -> str:
     if not html:
         return ""
     built = parse(html.replace("\0", ""))
-    return "\n".join(Renderer(hidden_selectors(built.sheets)).render(built.root))
+    Cascade(built.sheets).apply(built.root)
+    return "\n".join(Renderer().render(built.root))
 
 
 def extracted(pages: DataFrame) -> DataFrame:
