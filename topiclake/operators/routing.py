@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from topiclake import constants as C
 from topiclake.functions.paths import escapes_root, resolve_path
+from topiclake.operators.literals import pairs_by_literal, required_literal
 from topiclake.operators.running import asof_last, time_block
 from topiclake.session import broadcast_if_small, is_small, written_table
 
@@ -40,19 +43,22 @@ def _candidates(topics: DataFrame, patterns: DataFrame) -> DataFrame:
 
     Of several configurations with one pattern only the lowest id can win, so they are merged first. Text
     that compiles alone but not when it has to match a whole topic, such as an unclosed quotation, matches
-    nothing. Patterns without a literal start would meet every topic under one key; they are few and short,
-    so they are broadcast instead where their size allows, and topics are cut at the lengths that occur only.
+    nothing. Topics are cut at the lengths that occur only. Patterns without a literal start are found by a
+    literal every match must hold; those without that either have to be tried on every topic, and are broadcast
+    where their size allows.
     """
     unique = patterns.groupBy(F.col("topic_name").alias("pattern")).agg(F.min("id").alias("id"))
     keyed = unique.filter(compiles(F.col("pattern")) & compiles(whole(F.col("pattern")))).withColumn(
         "prefix", literal_prefix(F.col("pattern")))
     matches = full_match(F.col("topic"), F.col("pattern"))
-    anywhere = topics.join(broadcast_if_small(keyed.filter("prefix = ''").select("pattern", "id")), matches)
+    open_start = keyed.filter("prefix = ''").select("pattern", "id", required_literal(F.col("pattern")).alias("literal"))
+    anywhere = topics.join(broadcast_if_small(open_start.filter("literal = ''").select("pattern", "id")), matches)
+    inside = pairs_by_literal(topics, open_start.filter("literal <> ''")).filter(matches)
     started = keyed.filter("prefix <> ''").withColumn("n", F.length("prefix"))
     lengths = F.broadcast(started.select("n").distinct())  # at most MAX_REGEX numbers
     prefixes = topics.join(lengths, F.length("topic") >= F.col("n")).select("topic", F.expr("left(topic, n)").alias("prefix"))
     found = prefixes.join(started, "prefix").filter(matches)
-    return found.select("topic", "id").unionByName(anywhere.select("topic", "id"))
+    return reduce(DataFrame.unionByName, [pairs.select("topic", "id") for pairs in (found, anywhere, inside)])
 
 
 def match_topics(topics: DataFrame, configs: DataFrame, path: str | None = None) -> DataFrame:

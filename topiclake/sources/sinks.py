@@ -225,15 +225,16 @@ def fan_out(routed: DataFrame, configs: DataFrame, root: str, quarantine: str, *
     path with `..` go to the `quarantine` table instead, all in one write. `at` names the column with
     the time to route by.
 
-    Configurations with equal sink settings share a write. Writes into one root follow one another,
-    since two jobs that append to a directory share its temporary folder; different roots are
-    written side by side.
+    Configurations with equal sink settings share a write, and all writes run side by side. Settings with one root
+    are written to a hidden folder below it, each to its own, and their files are then moved into place together:
+    two jobs in one folder would share its temporary files, and of two that overwrite, the second would delete
+    what the first put into a directory both write to.
     """
     spark = routed.sparkSession
     settings = sink_settings(configs)
     path = scratch_path(spark, "routed")
     staged = _staged(_with_setting(routed, configs, settings), settings, path, at, tz, as_of)
-    by_root: dict[str, list] = {quarantine.rstrip("/"): []}
+    by_root: dict[str, list[Callable[..., None]]] = {quarantine.rstrip("/"): []}
     for n, group in enumerate(settings):
         fields = parse_schema(group["schema_json"])
         names = {f.name for f in fields}
@@ -252,27 +253,62 @@ def fan_out(routed: DataFrame, configs: DataFrame, root: str, quarantine: str, *
         out = out.hint("rebalance", *partition_by) if partition_by else out
         target = layout.root if "://" in layout.root else root.rstrip("/") + layout.root
         by_root.setdefault(target.rstrip("/"), []).append(partial(
-            write_format, out, target, group["sink_format"], group["compression"], mode=mode,
+            write_format, out, sink_format=group["sink_format"], codec=group["compression"],
             partition_by=partition_by, max_records=group["flush_rows"]))
 
     bad = staged.filter(~F.col("__ok")).select(*ENVELOPE_COLUMNS, REASON, "config_id", *extra_partition)
-    by_root[quarantine.rstrip("/")].append(partial(write_parquet, bad, quarantine, mode=mode, partition_by=tuple(extra_partition)))
-    _run_all(spark, list(by_root.values()))
+    by_root[quarantine.rstrip("/")].append(partial(write_parquet, bad, partition_by=tuple(extra_partition)))
+    jobs, moves = [], []
+    for target, writes in by_root.items():
+        if len(writes) == 1:
+            jobs.append(partial(writes[0], path=target, mode=mode))
+            continue
+        staging = f"{target}/_staging-{uuid.uuid4().hex}"
+        jobs += [partial(write, path=f"{staging}/{n}", mode="append") for n, write in enumerate(writes)]
+        moves.append(partial(_move_in, spark, staging, target, len(writes), replace=mode == "overwrite"))
+    _side_by_side(spark, jobs)
+    for move in moves:
+        move()
     remove_path(spark, path)
 
 
-def _run_all(spark: SparkSession, series: list[list[Callable[[], None]]]) -> None:
-    """Run each series of writes in its order, and independent series side by side."""
-
-    def run(writes):
-        for write in writes:
-            write()
-
+def _side_by_side(spark: SparkSession, jobs: list[Callable[[], None]]) -> None:
     with ThreadPoolExecutor(WRITERS) as pool:
-        for done in [pool.submit(inheritable_thread_target(spark)(partial(run, w))) for w in series]:
+        for done in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]:
             done.result()
 
 
+def _move_in(spark: SparkSession, staging: str, target: str, parts: int, *, replace: bool) -> None:
+    """Move the files below `staging`/0, 1, ... to the same directories below `target`, and remove `staging`.
+
+    With `replace` every directory that gets files loses those it had, as in a dynamic overwrite. A call that stops
+    midway is repeated by the whole write: what it had moved is then replaced.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    moved: dict[str, list] = {}
+    for n in range(parts):
+        folder = files.makeQualified(hadoop.Path(f"{staging}/{n}"))
+        found = files.listFiles(folder, True) if files.exists(folder) else None
+        while found is not None and found.hasNext():
+            file = found.next().getPath()
+            if not file.getName().startswith(("_", ".")):
+                moved.setdefault(file.getParent().toString()[len(folder.toString()):].strip("/"), []).append(file)
+
+    def put(directory: str) -> None:
+        goal = hadoop.Path(hadoop.Path(target), directory) if directory else hadoop.Path(target)
+        files.mkdirs(goal)
+        for old in files.listStatus(goal) if replace else []:
+            if old.isFile():
+                files.delete(old.getPath(), False)
+        for file in moved[directory]:
+            if not files.rename(file, hadoop.Path(goal, file.getName())):
+                raise OSError(f"could not move {file} to {goal}")
+
+    _side_by_side(spark, [partial(put, d) for d in moved])
+    files.delete(hadoop.Path(staging), True)
+
+
 def write_exact_paths(rows: DataFrame, root: str, sink_format: str, codec: str) -> None:
     """Append rows carrying a resolved `path` to exactly those directories, however many there are.
 

@@ -23,8 +23,10 @@ from topiclake.operators import ranges, routing
 from topiclake.operators.control import checked_configs, config_diff
 from topiclake.session import broadcast_if_small, remove_path, scratch_path, written_table
 from topiclake.sources.envelope import stream_envelope
+from topiclake.sources.offset_log import OffsetLog
 from topiclake.sources.sinks import fan_out, write_parquet
 from topiclake.sources.tables import active_configs
+from topiclake.streaming import history
 
 KEYS = ["topic", "partition"]
 
@@ -55,8 +57,8 @@ def drop_replays(stream: DataFrame, delay: str) -> DataFrame:
 
 
 class IngestJob:
-    """Writes below `root`: data, quarantine, unmatched, manifest/<run>, metrics, configs, config_errors,
-    config_changes, batches, runs."""
+    """Writes below `root`: data, quarantine, unmatched, manifest/<run>, ranges/<run>, metrics, configs, config_errors,
+    config_changes, config_history/<run>, batches, runs."""
 
     def __init__(self, read_configs: Callable[[SparkSession], DataFrame], root: str, *, route: str = "record",
                  tz: str | None = None, clock: Callable[[], float] = time.time):
@@ -123,24 +125,36 @@ class IngestJob:
             opened = self._of_batch(spark, "batches", batch)
         return F.timestamp_micros(F.lit(opened.first()["opened_us"]))
 
-    def _config_changes(self, spark: SparkSession, configs: DataFrame, number: int, batch: str) -> None:
+    def _config_changes(self, spark: SparkSession, configs: DataFrame, opened: Column, number: int, batch: str) -> None:
+        """What differs from the batch before, and the validity intervals up to this one; nothing where the records of
+        both batches give the same number and checksum of configurations."""
+        before = self._of_batch(spark, "batches", self.batch_name(number - 1)) if number else None
+        if before is not None:
+            begun = self._of_batch(spark, "batches", batch)
+            same = [b.select("configs", "config_sum").first() for b in (before, begun)]
+            if same[0] == same[1]:
+                return
         previous = self._of_batch(spark, "configs", self.batch_name(number - 1)) if number else None
         if previous is not None:
             self._write(config_diff(previous, configs), "config_changes", batch)
+        history.take_in(configs, f"{self.root}/config_history/{self.run_id}", number, opened, ["id"])
+
+    def _log(self, run: str) -> OffsetLog:
+        """The offset ranges a run has written: a snapshot, and the manifests of the batches after it."""
+        return OffsetLog(f"{self.root}/ranges/{run}", lambda n: f"{self.root}/manifest/{run}/batch={run}-{n:09d}",
+                         lambda n: f"{self.root}/batches/batch={run}-{n:09d}")
 
     def _written_elsewhere(self, spark: SparkSession) -> DataFrame | None:
         """Gapless ranges of earlier runs. Within a run Spark's offset log never hands out a range twice."""
         if not self._ranges_read:
             known = table_or_none(spark, f"{self.root}/runs")
             runs = [r["run"] for r in known.distinct().collect()] if known is not None else []
-            found = [table_or_none(spark, f"{self.root}/manifest/{r}") for r in sorted(runs) if r != self.run_id]
-            found = [t for t in found if t is not None]
-            if found:
-                # A file source may interleave the offsets of several batches, and a record that was never
-                # written must not be taken for a replay: only ranges with every offset seen count.
-                dense = F.col("distinct_offsets") == F.col("end_offset") - F.col("start_offset") + 1
-                # The manifests are read once a run; what a micro-batch meets are the merged ranges alone.
-                merged = ranges.merge_ranges(reduce(DataFrame.unionByName, found).filter(dense))
+            # A file source may interleave the offsets of several batches, and a record that was never written must
+            # not be taken for a replay: the log holds only ranges with every offset seen.
+            parts = [p for r in sorted(runs) if r != self.run_id for p in self._log(r).parts(spark)]
+            if parts:
+                # The logs are read once a run; what a micro-batch meets are the merged ranges alone.
+                merged = ranges.merge_ranges(reduce(DataFrame.unionByName, parts))
                 self._ranges = written_table(merged, "written").withColumn("recorded_at", F.lit(0))
             self._ranges_read = True
         return self._ranges
@@ -163,7 +177,7 @@ class IngestJob:
         batch = self.batch_name(number)
         configs = self._pinned_configs(spark, batch)
         opened = self._opened(spark, configs, batch)
-        self._config_changes(spark, configs, number, batch)
+        self._config_changes(spark, configs, opened, number, batch)
         topic_map = scratch_path(spark, "topic-map")
         records = self._without_replays(spark, records).persist()
         try:
@@ -190,6 +204,7 @@ class IngestJob:
                     F.sum("size").alias("bytes"), F.min_by("at", "offset").alias("first_ts"),
                 ).withColumn("created_at", opened),
                 f"manifest/{self.run_id}", batch)
+            self._log(self.run_id).written(spark, number)
             self._metrics(spark, records, batch, began)
         finally:
             records.unpersist()
