@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from topiclake.streaming import history
+from topiclake.streaming.ingest import IngestJob
 
 DDL = "id long, name string, version int"
 
@@ -79,3 +80,19 @@ def test_in_force(spark, tmp_path):
     found = history.in_force(records.select("id", F.timestamp_seconds("s").alias("timestamp")), history.history(spark, path), ["id"])
     got = sorted((r.id, r.timestamp.timestamp(), r.v) for r in found.select("id", "timestamp", F.col("entry.version").alias("v")).collect())
     assert [v for _, _, v in got] == [None, 1, 1, 2, 2, None, None, 3, 3, None]
+
+
+def test_the_stream_keeps_its_history(spark, tmp_path):
+    ddl = ("id bigint, topic_name string, match_type string, schema_json string, sink_format string, sink_path string, "
+           "partition_by string, compression string, status string, version int")
+    versions = iter([1, 1, 2])
+    setting = lambda v: (1, "t", "EXACT", '{"fields":[{"name":"id","type":"LONG"}]}', "PARQUET", "/t/{topic}", None, "SNAPPY", "ACTIVE", v)
+    hours = iter(range(3))
+    job = IngestJob(lambda s: s.createDataFrame([setting(next(versions))], ddl), str(tmp_path), clock=lambda: next(hours) * 100)
+    records = spark.createDataFrame([("t", 0, 1, '{"id":1}')], "topic string, partition int, offset bigint, value string")
+    for n in range(3):
+        job.process(records.withColumn("timestamp", F.timestamp_seconds(F.lit(1767225600))), n)
+    path = str(tmp_path / "config_history/run")
+    rows = history.history(spark, path).select("version", F.unix_seconds(history.FROM), F.unix_seconds(history.UNTIL)).collect()
+    assert sorted(map(tuple, rows)) == [(1, 0, 200), (2, 200, None)]
+    assert sorted(os.listdir(path + "/open")) == ["upto=0", "upto=2"]  # nothing was written for the batch in between
