@@ -77,6 +77,21 @@ def test_batches_over_many_blocks(spark, limits):
     assert {k: sorted(v) for k, v in got.items()} == want
 
 
+def test_blocks_grow_with_the_partition(spark, monkeypatch):
+    asked = []
+    real = batching._spanning_batches
+    monkeypatch.setattr(batching, "_spanning_batches", lambda rows, size, blocks: asked.append((size, blocks)) or real(rows, size, blocks))
+    rows = make(9, 3000, False)
+    limits = (10**9, 9000, 10**9)
+    df = spark.createDataFrame([("t", 0, *r, *limits) for r in rows], "topic string, partition int, offset bigint, bytes bigint, "
+                               "ts_ms bigint, flush_rows bigint, flush_bytes bigint, flush_ms bigint")
+    found = batching.greedy_batches(df, rows_per_block=4).orderBy("batch_id").collect()
+    got = [(r["start_offset"], r["end_offset"], r["record_count"], r["bytes"], r["first_ts_ms"], r["closed"]) for r in found]
+    assert got == brute(rows, *limits)
+    assert asked == [(64, 47)]  # of 4 rows each there would be 750
+    assert batching._spanned_rows(64, 10**10) == batching.ROWS_PER_BLOCK and batching._spanned_rows(1 << 21, 10**10) == 1 << 21
+
+
 def test_one_outlier_closes_every_open_batch(spark):
     rows = [(i, 10, 1000 if i != 150 else 10**7) for i in range(200)]
     flat = [("t", 0, *r, 10**9, 10**9, 5000) for r in rows]

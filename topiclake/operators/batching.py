@@ -17,6 +17,7 @@ from topiclake.session import written_table
 KEYS = ["topic", "partition"]
 ROWS_PER_BLOCK = 1 << 20
 FAN_IN = 16
+SPANNED = 64  # blocks of a partition, as long as they are shorter than ROWS_PER_BLOCK
 
 
 def batches_by_rows(records: DataFrame, flush_rows: Column) -> DataFrame:
@@ -197,7 +198,8 @@ def _entries(maps: DataFrame, blocks: int, types: str) -> DataFrame:
 # them closes, and that block says where, and which start is open at its own end then. These steps
 # from open start to open start are followed from the first row by doubling: as many joins as the
 # number of blocks has binary digits. A task sees one block, one line for each block of its partition,
-# and the steps between two blocks.
+# and the steps between two blocks. Every block gets all lines of its partition and sends on its open starts, so
+# blocks that the caller asked to be short grow with the longest partition until SPANNED of them hold it.
 
 LANDING = ("node bigint, next_node bigint, target bigint, entry bigint, start_rn bigint, start_offset bigint, "
            "start_total bigint, first_ts_ms bigint, end_rn bigint, end_offset bigint, end_total bigint")
@@ -340,6 +342,14 @@ def _spanning_batches(numbered: DataFrame, block_rows: int, blocks: int) -> Data
         (F.col("end_total") - F.col("start_total")).alias("bytes"), "first_ts_ms", "closed"))
 
 
+def _spanned_rows(block_rows: int, rows: int) -> int:
+    """The length of the blocks a partition of `rows` rows is cut into: `block_rows`, doubled while that makes more than
+    SPANNED of them, up to ROWS_PER_BLOCK."""
+    while block_rows * SPANNED < rows and 2 * block_rows <= ROWS_PER_BLOCK:
+        block_rows *= 2
+    return block_rows
+
+
 def _short_batches(numbered: DataFrame, block_rows: int, blocks: int) -> DataFrame:
     """Batches of numbered rows whose flush_rows is at most `block_rows`."""
     types = ", ".join(f"{k} {t}" for k, t in numbered.select(*KEYS).dtypes)
@@ -359,15 +369,19 @@ def greedy_batches(rows: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -> Dat
     `rows`: topic, partition, offset (unique per partition), bytes, ts_ms and the three thresholds,
     which are constant within a topic. The age of a batch is record time since its first record. The
     last batch of a partition is open (`closed` false) unless a threshold fell on its last record.
-    No task sees more than two blocks of `rows_per_block` rows, whatever the thresholds are.
+    No task sees more than two blocks of `rows_per_block` rows, whatever the thresholds are, but where flush_rows is larger
+    than a block: such batches are looked for in longer blocks, up to ROWS_PER_BLOCK rows, if there are very many of them.
     """
     seen = running(rows, KEYS, ["offset"], offset_block("offset"), [
         Running("rn", "sum", F.lit(1).cast("bigint")), Running("total", "sum", F.col("bytes"))])
     numbered = written_table(seen.withColumn("rn", F.col("rn") - 1), "batch-rows")
     long = F.col("flush_rows") > rows_per_block
     ends = {r["long"]: r["rn"] for r in numbered.groupBy(long.alias("long")).agg(F.max("rn").alias("rn")).collect()}
-    parts = [make(numbered.filter(long if kind else ~long), rows_per_block, ends[kind] // rows_per_block + 1)
-             for kind, make in ((False, _short_batches), (True, _spanning_batches)) if kind in ends]
+    parts = []
+    for kind, make in ((False, _short_batches), (True, _spanning_batches)):
+        if kind in ends:
+            block_rows = _spanned_rows(rows_per_block, ends[kind] + 1) if kind else rows_per_block
+            parts.append(make(numbered.filter(long if kind else ~long), block_rows, ends[kind] // block_rows + 1))
     cut = reduce(DataFrame.unionByName, parts) if parts else _short_batches(numbered, rows_per_block, 1)
     counted = running(cut, KEYS, ["start_rn"], offset_block("start_rn"),
                       [Running("n", "sum", F.lit(1).cast("bigint"))])
