@@ -130,3 +130,21 @@ def test_kafka_options():
     assert kafka_options("h:1", pattern="u_.*")["subscribePattern"] == "u_.*"
     with pytest.raises(ValueError):
         kafka_options("h:1")
+
+
+def test_compaction_bounds_what_a_task_holds(spark, tmp_path, monkeypatch):
+    spark.range(2000, numPartitions=1).selectExpr("id % 1500 AS k", "CAST(id % 3 AS STRING) AS p").write.option(
+        "parquet.block.size", 2048).parquet(str(tmp_path / "in"))
+    rows, name, seen = spark.read.parquet(str(tmp_path / "in")), "spark.sql.files.maxPartitionBytes", []
+    before = spark.conf.get(name)
+    real = sinks.write_parquet
+    monkeypatch.setattr(sinks, "write_parquet", lambda df, *a, **k: seen.append(df) or real(df, *a, **k))
+    whole = rows.rdd.getNumPartitions()
+    with sinks.small_splits(spark, 1024):
+        assert spark.read.parquet(str(tmp_path / "in")).rdd.getNumPartitions() > whole
+    assert spark.conf.get(name) == before
+    sinks.compact(rows, str(tmp_path / "out"), partition_by=("p",))
+    assert spark.conf.get(name) == before
+    assert int(seen[0].sparkSession.conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 0  # no sort by directory
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(map(tuple, out.select("k", F.col("p").cast("string")).collect())) == sorted(set(map(tuple, rows.collect())))

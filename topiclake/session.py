@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+_SPLITTING = threading.RLock()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,6 +46,23 @@ def own_session(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
     return own
 
 
+@contextmanager
+def small_splits(spark: SparkSession, max_bytes: int) -> Iterator[None]:
+    """Files are read in splits of `max_bytes` by jobs that run meanwhile.
+
+    A table is split by the setting of the session it was read with, so `own_session` cannot change it afterwards. Other jobs of
+    `spark` may get smaller splits for that time, never other rows.
+    """
+    name = "spark.sql.files.maxPartitionBytes"
+    with _SPLITTING:
+        before = spark.conf.get(name)
+        spark.conf.set(name, str(max_bytes))
+        try:
+            yield
+        finally:
+            spark.conf.set(name, before)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder a job wrote for itself, on whatever file system it lies."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -19,7 +19,7 @@ from topiclake.functions.paths import escapes_root, local_time, sanitize, saniti
 from topiclake.functions.casts import CORRUPT, cast_field, json_variants
 from topiclake.functions.schema import Field, parse_schema
 from topiclake.operators.parse import REASON, ROW, parse_json
-from topiclake.session import broadcast_if_small, own_session, remove_path, scratch_path
+from topiclake.session import broadcast_if_small, own_session, remove_path, scratch_path, small_splits
 
 CSV_OPTIONS = {
     "header": "true",
@@ -32,6 +32,8 @@ CSV_OPTIONS = {
 ENVELOPE_COLUMNS = ["topic", "partition", "offset", "timestamp", "value"]
 WRITERS = 8
 CHECKED = 100  # settings whose reasons make up one expression
+OPEN_FILES = 32  # directories a task writes side by side; only where it has more are its rows sorted by directory
+SPLIT_BYTES = 16 * 1024 * 1024  # of a file, read by one task that keeps its distinct rows in memory
 PARSED = "__needed"
 
 
@@ -337,12 +339,14 @@ def write_exact_paths(rows: DataFrame, root: str, sink_format: str, codec: str)
 def compact(rows: DataFrame, path: str, *, partition_by: tuple[str, ...] = (), codec: str = "SNAPPY") -> None:
     """Distinct rows into files of a good size.
 
-    Copies collapse map-side in the distinct aggregate; the rebalance lets AQE merge small and split
-    large output partitions to the advisory size.
+    Copies collapse map-side in the distinct aggregate, over splits of SPLIT_BYTES at most; the rebalance lets AQE merge
+    small and split large output partitions to the advisory size, and they are written as they come, unsorted.
     """
     spark, scratch = rows.sparkSession, scratch_path(rows.sparkSession, "distinct")
-    rows.distinct().write.parquet(scratch)
-    own = own_session(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(2 * C.MIN_FILE_BYTES)})
+    with small_splits(spark, SPLIT_BYTES):
+        rows.distinct().write.parquet(scratch)
+    own = own_session(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(2 * C.MIN_FILE_BYTES),
+                              "spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES)})
     distinct = own.read.schema(rows.schema).parquet(scratch)
     spread = distinct.hint("rebalance", *partition_by) if partition_by else distinct.hint("rebalance")
     write_parquet(spread, path, codec, mode="overwrite", partition_by=partition_by)
