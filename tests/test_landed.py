@@ -57,3 +57,11 @@ def test_bins_follow_sizes(spark, path):
     assert landed.plan(spark, path, F.lit(True)).isEmpty()
     landed.compact_landed(spark, path, F.lit(True))
     assert ids(spark, path) == list(range(600)) and len(files(spark, path)) == 6
+
+
+def test_bins_are_written_as_they_come(spark, path, monkeypatch):
+    seen, real = [], landed.write_parquet
+    monkeypatch.setattr(landed, "write_parquet", lambda df, *a, **k: seen.append(df) or real(df, *a, **k))
+    landed.compact_landed(spark, path, F.lit(True))
+    assert int(seen[0].sparkSession.conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 0  # no sort by directory
+    assert ids(spark, path) == list(range(600))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from topiclake import constants as C
 from topiclake.session import broadcast_if_small, own_session, remove_path, scratch_path, written_table
-from topiclake.sources.sinks import write_parquet
+from topiclake.sources.sinks import OPEN_FILES, write_parquet
 from topiclake.streaming.ingest import table_or_none
 
 MERGED = "compact-"
@@ -90,8 +90,10 @@ def stage(spark: SparkSession, path: str, chosen: DataFrame, ident: str, codec:
 
     A bin of more than C.MAX_FILE_BYTES, from one directory of very many files, is dealt to several tasks by file.
     """
-    # directories keep their names as they are: `hour=05` must not become a number
-    own = own_session(spark, {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"})
+    # directories keep their names as they are: `hour=05` must not become a number; a bin is written as its rows come, since
+    # sorting them by directory would hold a whole bin, many times its size in the files, in one task
+    own = own_session(spark, {"spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+                              "spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES)})
     rows = own.read.option("mergeSchema", "true").parquet(path)
     directory, batch = _place()
     rows = rows.withColumns({"__dir": directory, "__batch": batch, "__file": F.col("_metadata.file_path")})
