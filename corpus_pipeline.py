@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from topiclake.llm import exact_dedup, mixing, near_copies, packing, quality
+from topiclake.llm import exact_dedup, mixing, near_copies, packing, quality, simhash
 from topiclake.llm.common import table
 from topiclake.session import written_table
 
@@ -23,8 +23,9 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of texts that share 0.8 or more of their five-word shingles."""
-    return near_copies.keep_first(docs)
+    """One document of each component of near fingerprints, and of those one of each component of texts that share 0.8 or
+    more of their five-word shingles, which may lie further apart than fingerprints are linked."""
+    return near_copies.keep_first(simhash.keep_first(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,12 +41,12 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES = [
     ("quality classifier", drop_low_quality),
     ("exact dedup", drop_exact_copies),
-    ("shingle near-dedup", drop_near_copies),
+    ("SimHash near-dedup", drop_near_copies),
     ("mixing to target weights", mix_sources),
     ("best-fit packing", pack_sequences),
 ]
 
-# A trained classifier, shingle sets and tokens are beyond SQL: tests/llm/test_pipeline.py and, for the third
+# A trained classifier, fingerprints, shingle sets and tokens are beyond SQL: tests/llm/test_pipeline.py and, for the third
 # stage, tests/llm/test_near_copies.py have brute-force versions.
 ORACLE_SQL = None
 
