@@ -148,3 +148,18 @@ def test_compaction_bounds_what_a_task_holds(spark, tmp_path, monkeypatch):
     assert int(seen[0].sparkSession.conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 0  # no sort by directory
     out = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(map(tuple, out.select("k", F.col("p").cast("string")).collect())) == sorted(set(map(tuple, rows.collect())))
+
+
+def test_reasons_are_compiled_and_whole(spark):
+    schema = '{"fields":[{"name":"a","type":"LONG","nullable":false},{"name":"b","type":"STRING","nullable":false},{"name":"dt","type":"STRING"}]}'
+    settings = [{"schema_json": schema, "sink_path": p} for p in ("/t/{date}", "/t/{dt}", "/t/{topic}.{partition}")]
+    needed, reasons = sinks._checks(settings, "timestamp", None, None)
+    rows = spark.createDataFrame([(0, '{"a":1,"b":"x"}', "t"), (1, '{"a":true}', "t"), (2, '{"b":"x"}', "t"), (3, '{"a":1,"b":"x","dt":"."}', "t."),
+                                  (4, '{"a":1,"b":"x","dt":"a..b"}', "..")], "n int, value string, topic string")
+    rows = rows.withColumns({"timestamp": F.lit("2024-01-01").cast("timestamp"), "partition": F.lit(1)})
+    parsed = rows.select("*", F.explode(F.array(sinks.json_variants(F.col("value"), needed))).alias(sinks.PARSED))
+    out = parsed.select("n", *[r.alias(f"r{i}") for i, r in enumerate(reasons)])
+    assert "transform" not in (plan := out._jdf.queryExecution().toString().lower()) and "lambda" not in plan
+    lacks, dots = ["missing required: a,b", "missing required: a"], "resolved path contains '..'"
+    assert [tuple(r) for r in out.orderBy("n").collect()] == [
+        (0, None, None, None), (1, lacks[0], lacks[0], lacks[0]), (2, lacks[1], lacks[1], lacks[1]), (3, None, None, dots), (4, None, dots, dots)]

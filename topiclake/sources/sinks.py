@@ -34,6 +34,7 @@ WRITERS = 8
 CHECKED = 100  # settings whose reasons make up one expression
 OPEN_FILES = 32  # directories a task writes side by side; only where it has more are its rows sorted by directory
 SPLIT_BYTES = 16 * 1024 * 1024  # of a file, read by one task that keeps its distinct rows in memory
+STAGED_BLOCK = 8 * 1024 * 1024
 PARSED = "__needed"
 
 
@@ -168,6 +169,12 @@ def _directories(layout: Layout, names: set[str], at: str, tz: str | None, as_of
     return columns
 
 
+def _never_dots(pattern: str, names: set[str]) -> bool:
+    """True when no record can put `..` into a directory: nothing but dates, times and partition numbers fill it."""
+    fixed = {"date", "partition"} | ({"dt", "hour", "minute"} - names)
+    return set(re.findall(r"\{(\w+)\}", pattern)) <= fixed and ".." not in re.sub(r"\{\w+\}", "0", pattern)
+
+
 def _checks(settings: list[dict], at: str, tz: str | None, as_of: Column | None) -> tuple[list[Field], list[Column | None]]:
     """The fields that decide about acceptance in any setting, and each setting's reason to reject."""
     needed: dict[str, Field] = {}
@@ -178,13 +185,14 @@ def _checks(settings: list[dict], at: str, tz: str | None, as_of: Column | None)
         for f in fields:
             if not f.nullable or f.name in ("dt", "hour", "minute"):
                 needed.setdefault(f.name, f)
-        lacking = [F.when(cast_field(F.col(PARSED)[f.name], f.type).isNull(), F.lit(f.name)) for f in fields if not f.nullable]
+        absent = [(f.name, cast_field(F.col(PARSED)[f.name], f.type).isNull()) for f in fields if not f.nullable]
         reason = F.lit(None).cast("string")
-        if lacking:
-            missing = F.array_compact(F.array(*lacking))
-            reason = F.when(F.size(missing) > 0, F.concat(F.lit("missing required: "), F.concat_ws(",", missing)))
-        directories = _directories(layout_of(group["sink_path"]), names, at, tz, as_of, F.col(PARSED))
-        if directories:
+        if absent:  # no array of names: filtering one is interpreted, with the casts in it, for every record
+            lacking = F.concat_ws(",", *[F.when(is_null, F.lit(name)) for name, is_null in absent])
+            reason = F.when(reduce(Column.__or__, [is_null for _, is_null in absent]), F.concat(F.lit("missing required: "), lacking))
+        layout = layout_of(group["sink_path"])
+        if not all(_never_dots(pattern, names) for _, pattern in layout.directories):
+            directories = _directories(layout, names, at, tz, as_of, F.col(PARSED))
             unsafe = escapes_root(F.concat_ws("/", *directories.values()))
             reason = F.coalesce(reason, F.when(unsafe, "resolved path contains '..'"))
         reasons.append(reason)
@@ -212,7 +220,8 @@ def _staged(placed: DataFrame, settings: list[dict], path: str, at: str, tz: str
         empty = F.coalesce(F.col("value"), F.lit("")) == ""
         parts.append(parsed.withColumn(REASON, F.when(empty, "empty or null record").when(bad, "not a JSON object").otherwise(reason)).drop(PARSED))
     out = reduce(DataFrame.unionByName, parts).withColumn("__ok", F.isnull(REASON))
-    out.hint("rebalance", "__setting", "__ok").write.partitionBy("__setting", "__ok").parquet(path)
+    # short row groups: a file of one group would be parsed again by one task, however many splits it is read in
+    out.hint("rebalance", "__setting", "__ok").write.option("parquet.block.size", STAGED_BLOCK).partitionBy("__setting", "__ok").parquet(path)
     return spark.read.schema(out.schema).parquet(path)
 
 
