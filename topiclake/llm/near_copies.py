@@ -26,7 +26,7 @@ from pyspark.sql.types import ArrayType, LongType
 
 from topiclake.llm.common import FILE, ROW, located, maybe_in, set_aside, without
 from topiclake.llm.graph import components
-from topiclake.session import written_table
+from topiclake.session import small_batches, written_table
 
 SHINGLE = 5
 SIMILARITY = (4, 5)  # shared of all shingles
@@ -77,7 +77,7 @@ def banded(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*columns, pa.array(sizes), lists, pa.array(signs, pa.binary())],
                                              names=[*others, "size", "keys", "sig"])
 
-    return docs.mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(run, schema)
 
 
 def _signs(column: pa.Array) -> np.ndarray:
@@ -112,7 +112,7 @@ def verified(pairs: DataFrame, rows: DataFrame, placed: DataFrame) -> DataFrame:
     ends = written_table(ends.join(rows.select("id", FILE, ROW), "id"), "ends")
     here = F.struct(FILE, ROW)
     texts = maybe_in(placed.select(FILE, ROW, "text"), here, ends, here).join(ends, [FILE, ROW])
-    sets = written_table(texts.select("id", "text").mapInArrow(_hashed, "id long, hashes array<long>"), "sets")
+    sets = written_table(small_batches(texts.select("id", "text")).mapInArrow(_hashed, "id long, hashes array<long>"), "sets")
     of_a, of_b = (sets.select(F.col("id").alias(x), F.col("hashes").alias(f"set_{x}")) for x in "ab")
     both = pairs.join(of_b, "b").join(of_a, "a")
     shared = F.size(F.array_intersect("set_a", "set_b"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from topiclake.llm.common import table
 from topiclake.llm.registry import query
 from topiclake.llm.tokens import VOCABULARY, encode
-from topiclake.session import written_table
+from topiclake.session import small_batches, written_table
 
 CONTEXT = 2048
 END = 0
@@ -50,7 +50,7 @@ def pieces(docs: DataFrame, context: int = CONTEXT, vocabulary: str = VOCABULARY
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(rows, pa.int64())), *columns],
                                              names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return small_batches(docs.select("doc_id", "text")).mapInArrow(run, schema)
 
 
 def patterns(lengths: np.ndarray, context: int) -> np.ndarray:

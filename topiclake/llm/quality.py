@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from topiclake.llm.common import FILE, ROW, located, table
 from topiclake.llm.registry import query
 from topiclake.llm.words import grams, groups, numbered
-from topiclake.session import written_table
+from topiclake.session import small_batches, written_table
 
 BUCKETS = 1 << 17
 WIDTH = 8
@@ -25,6 +25,7 @@ EPOCHS = 8
 RATE = 2.0
 ACCEPT = 0.7
 FOLDS, HELD = 4, 2
+GROUP_WORDS = 12_000  # of texts that are scored at once: bounds a Python worker's memory
 
 
 def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -57,7 +58,7 @@ class Model:
 
         Words are looked up once for a group of texts, so memory is bounded by the group."""
         out = []
-        for group in groups(texts):
+        for group in groups(texts, GROUP_WORDS):
             rows, words = numbered(group)
             buckets, owner = word_features(words)
             share = np.bincount(owner, weights=self.share[buckets], minlength=len(words))
@@ -142,7 +143,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", max_rows:
                 names=["doc_id", "y", "ids", "counts"])
 
     kind = sample.select("doc_id").schema.add("y", "integer").add("ids", "binary").add("counts", "binary")
-    counted = written_table(sample.mapInArrow(run, kind), "features")  # then fetched a partition at a time
+    counted = written_table(small_batches(sample).mapInArrow(run, kind), "features")  # then fetched a partition at a time
     rows = sorted(counted.toLocalIterator(), key=lambda r: (r["doc_id"], r["ids"]))
     return train([(r["y"], np.frombuffer(r["ids"], "<i4"), np.frombuffer(r["counts"], "<f4")) for r in rows])
 
@@ -157,7 +158,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             scores = model.scores(t.as_py() for t in batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], names=["doc_id", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, kind)
+    return small_batches(docs.select("doc_id", "text")).mapInArrow(run, kind)
 
 
 def accepted(docs: DataFrame, model: Model, least: float = ACCEPT) -> DataFrame:
@@ -167,7 +168,7 @@ def accepted(docs: DataFrame, model: Model, least: float = ACCEPT) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(model.scores(t.as_py() for t in batch.column("text")) >= least))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)
 
 
 @query("op9_quality")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from topiclake.llm.common import FILE, ROW, located, set_aside, table, without
 from topiclake.llm.graph import components, forest
 from topiclake.llm.registry import query
-from topiclake.session import written_table
+from topiclake.session import small_batches, written_table
 
 SHINGLE = 3
 SEED = 42
@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             columns = [batch.column(c) for c in others]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(found.view(np.int64))], names=[*others, "fp"])
 
-    return docs.mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(run, schema)
 
 
 class Covering:

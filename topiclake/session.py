@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+BATCH_BYTES = 2 * 1024 * 1024
 _SPLITTING = threading.RLock()
 
 
@@ -46,6 +47,25 @@ def own_session(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
     return own
 
 
+def small_batches(df: DataFrame, max_bytes: int = BATCH_BYTES) -> DataFrame:
+    """`df` in a session of its own, which hands rows to Python in batches of about `max_bytes`, however long its texts are.
+
+    The batches of a task are held by Spark, by Python and on the way between them, and allocators keep what the largest one took.
+    The rows are the same; what is built on them runs with the settings `df`'s session has now. Columns that only the files of a
+    table have (`_metadata`) have to be selected before.
+    """
+    spark = df.sparkSession
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if (spark.conf.get(limit, None) or "").rstrip("b") == str(max_bytes):
+        return df
+    own, name = own_session(spark, {limit: str(max_bytes)}), f"batches_{uuid.uuid4().hex}"
+    df.createGlobalTempView(name)  # the way to a plan that another session can read; both see it until it is dropped
+    try:
+        return own.table(f"global_temp.{name}")
+    finally:
+        spark.catalog.dropGlobalTempView(name)
+
+
 @contextmanager
 def small_splits(spark: SparkSession, max_bytes: int) -> Iterator[None]:
     """Files are read in splits of `max_bytes` by jobs that run meanwhile.
