@@ -1,8 +1,9 @@
 import random
 
+import numpy as np
 import pytest
 
-from topiclake.llm.graph import components
+from topiclake.llm.graph import components, forest, spanning
 
 
 @pytest.mark.parametrize("seed", range(2))
@@ -28,3 +29,21 @@ def test_components(spark, seed):
 
 def test_no_links(spark):
     assert components(spark.createDataFrame([(1, 1)], "a long, b long"), "a", "b").count() == 0
+
+
+def test_spanning_edges():
+    rng = np.random.default_rng(6)
+    for n, edges in ((1, 0), (2, 3), (40, 30), (60, 400)):
+        a, b = rng.integers(0, n, (2, edges))
+        parent, want = list(range(n)), []
+        for k in range(edges):  # earlier edges first
+            x, y = a[k], b[k]
+            while parent[x] != x:
+                x = parent[x]
+            while parent[y] != y:
+                y = parent[y]
+            if x != y:
+                parent[x] = y
+                want.append(k)
+        assert spanning(n, a, b).tolist() == want
+        assert (forest(n, a[want], b[want]) == forest(n, a, b)).all()

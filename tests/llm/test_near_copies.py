@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.test_mixing import brute_force as mixture
 from topiclake.llm import mixing, near_copies
+from topiclake.llm.graph import forest
 
 SF = "/root/testdata/sf0.01"
 
@@ -120,3 +121,65 @@ def test_odd_rows(spark):
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "5", "None"]
     assert near_copies.keep_first(docs.limit(0)).count() == 0
+
+
+def one_group(spark, texts):
+    """The texts as rows of one group, each a root of its own."""
+    docs = near_copies.located(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    rows = near_copies.banded(docs.select("doc_id", "text")).withColumn("id", F.col("doc_id")).orderBy("id")
+    numbers = {c: F.lit(0) for c in ("band", "lo", "hi", "own")} | {"key": F.lit(0).cast("long"), "root": F.col("id")}
+    return rows.withColumns(numbers).toArrow().combine_chunks().to_batches()
+
+
+def pairs_of(batches):
+    return [(a, b) for batch in batches for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())]
+
+
+def test_pairs_made_in_a_group_are_about_its_links(spark):
+    texts = family(300, 0.976, random.Random(7))
+    sets = [plain_shingles(t) for t in texts]
+    links = {(i, j) for i, j in combinations(range(300), 2) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    made = pairs_of(near_copies._crossing(one_group(spark, texts)))
+    assert links <= set(made) and len(links) > 1000
+    assert len(made) == len(set(made)) < 1.5 * len(links) < 300 * 299 / 2 / 10
+
+
+def test_spanning_pairs_of_a_group_join_what_its_links_join(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "PAIR_CHUNK", 1000)
+    texts = family(250, 0.986, random.Random(9))
+    sets = [plain_shingles(t) for t in texts]
+
+    def near(i, j):
+        return len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+
+    def joined(pairs):
+        a, b = np.array([p for p in pairs if near(*p)], np.int64).reshape(-1, 2).T
+        return forest(250, a, b)
+
+    made = pairs_of(near_copies._joining(one_group(spark, texts)))
+    assert len(made) < 250
+    whole, part = joined(combinations(range(250), 2)), joined(made)
+    assert (part >= whole).all() and (part != whole).sum() <= 2  # a pass over all pairs that are left follows
+
+
+def test_sketches_lose_no_pair():
+    rng = np.random.default_rng(3)
+    for size, other in ((1, 1), (1, 2), (100, 120), (120, 140), (500, 520), (900, 1100), (30_000, 35_000), (90_000, 100_000)):
+        hashes = rng.integers(0, 1 << 63, size + other, dtype=np.uint64)
+        for shared in {0, size // 2, size - size // 10, size}:
+            a, b = hashes[:size], hashes[size - shared:size - shared + other]
+            sketches = [near_copies.odd_sketch(x).tobytes() for x in (a, b)]
+            apart = near_copies.bits_apart(sketches, np.array([0, 1]), np.array([1, 0]))
+            assert apart[0] == apart[1] <= size + other - 2 * shared
+            assert len(sketches[0]) <= near_copies.SKETCH_BITS[1] // 8
+
+
+def test_near_pairs_differ_in_few_bits_and_far_ones_in_many():
+    rng = np.random.default_rng(4)
+    for size in (150, 600, 2500, 20_000):
+        hashes = rng.integers(0, 1 << 63, 2 * size, dtype=np.uint64)
+        for shared, near in ((0.89, True), (0.85, False)):  # of each text: similarities 0.802 and 0.739
+            own = size - round(shared * size)
+            sketches = [near_copies.odd_sketch(hashes[at:at + size]).tobytes() for at in (0, own)]
+            apart = near_copies.bits_apart(sketches, np.array([0]), np.array([1]))[0]
+            assert (9 * apart <= 2 * size) == near

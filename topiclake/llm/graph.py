@@ -58,3 +58,15 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         if (label == before).all():
             break
     return label
+
+
+def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the edges a-b among n nodes make up a spanning forest that prefers earlier edges to later ones."""
+    label, taken, left = np.arange(n), np.empty(0, np.int64), np.arange(len(a))
+    while len(left := left[label[a[left]] != label[b[left]]]):
+        first = np.full(n, len(a))
+        np.minimum.at(first, label[a[left]], left)
+        np.minimum.at(first, label[b[left]], left)
+        taken = np.union1d(taken, first[first < len(a)])
+        label = forest(n, a[taken], b[taken])
+    return taken

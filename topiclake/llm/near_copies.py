@@ -3,14 +3,19 @@
 Texts are looked up by BANDS keys of ROWS min-hashes each. A pair at 0.8 shares a key with probability
 1 - (1 - 0.8**6)**32 = 0.99994, one above it with a higher one. Of each bucket of equal keys, every text is
 first paired with one hub, the first by one of ORDERS orders; then, in buckets that links have not joined to one
-component, all pairs of different components are looked at. So a large group of near copies, whose buckets mostly
-have the same few hubs, costs about ORDERS pairs a text, and no pair that shares a key is left out: either it is
-looked at or both are in one component already.
+component, a spanning forest of the components by the pairs that look nearest is looked at, and at last, in buckets that
+are still not joined, all pairs of different components. So a large group of near copies, whose buckets mostly
+have the same few hubs, costs about ORDERS pairs a text and one more in each bucket, and no pair that shares a key is left
+out: either it is looked at or both are in one component already.
 
 A pair is looked at by its signatures, a byte of each min-hash. At 0.8 fewer than AGREE of the 192 agree with
-probability 3e-5; at 0.6 so many do in 1 of 100 pairs. Only the pairs that are left are compared by their shingles, as
-sorted hashes and in the JVM. Families of texts that resemble each other without being near meet in large
-buckets: those are split in chunks, each two of which are a group of their own, so no task holds a bucket.
+probability 3e-5; at 0.6 so many do in 1 of 100 pairs. A family whose texts share 0.65 to 0.8 would pass that nearly
+whole, and each pair in several bands, so pairs within buckets are also looked at by their odd sketches: a bit of a
+sketch is the parity of the shingles that fall on it, so two sketches differ in no more bits than the texts have shingles
+apart. No pair at 0.8 is lost by that; with two bits or more a shingle, nearly all pairs below 0.75 are.
+Only the pairs that are left are compared by their shingles, as sorted hashes and in the JVM. Families of texts that
+resemble each other without being near meet in large buckets: those are split in chunks, each two of which are a group
+of their own, so no task holds a bucket.
 """
 
 from __future__ import annotations
@@ -25,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
 from topiclake.llm.common import FILE, ROW, located, maybe_in, set_aside, without
-from topiclake.llm.graph import components
+from topiclake.llm.graph import components, spanning
 from topiclake.session import small_batches, written_table
 
 SHINGLE = 5
@@ -37,6 +42,8 @@ PAIR_CHUNK = 1 << 16
 ORDERS = 4  # orders in which buckets choose their hub
 AGREE = 131  # of BANDS * ROWS bytes of two signatures
 CHUNK = 2048  # rows of a bucket that are paired in one task
+SKETCH_BITS = 256, 1 << 16  # fewest and most of a sketch; longer texts are sifted less sharply, none is lost
+SKETCH_BYTES = 1 << 22  # of sketches compared at a time
 ODD = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 MIX = np.random.default_rng(SEED + 1).integers(0, 1 << 63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -58,24 +65,53 @@ def band_keys(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (mixed ^ (mixed >> np.uint64(32))).view(np.int64), (least * MIX[0] >> np.uint64(56)).astype(np.uint8)
 
 
+def odd_sketch(hashes: np.ndarray) -> np.ndarray:
+    """The parity of the hashes on each bit, two to four bits a hash, a power of two in all."""
+    fewest, most = SKETCH_BITS
+    bits = min(max(1 << (2 * len(hashes) - 1).bit_length(), fewest), most)
+    counts = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little")
+
+
+def bits_apart(sketches: list[bytes], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """In how many bits the sketches of each pair (i, j) differ, the wider one folded to the narrower one's width.
+
+    At most the number of hashes that only one of the two texts has.
+    """
+    widths = np.array([len(s) for s in sketches])
+    least, apart = np.minimum(widths[i], widths[j]), np.empty(len(i), np.int64)
+    for width in np.unique(least):
+        at = np.flatnonzero(least == width)
+        rows, place = np.unique(np.concatenate([i[at], j[at]]), return_inverse=True)
+        folded = np.stack([np.bitwise_xor.reduce(np.frombuffer(sketches[r], np.uint64).reshape(-1, width // 8)) for r in rows])
+        step = SKETCH_BYTES // width
+        for start in range(0, len(at), step):
+            a, b = place[:len(at)][start:start + step], place[len(at):][start:start + step]
+            apart[at[start:start + step]] = np.bitwise_count(folded[a] ^ folded[b]).sum(axis=1, dtype=np.int64)
+    return apart
+
+
 def banded(docs: DataFrame) -> DataFrame:
-    """`docs` with `size`, the number of distinct shingles, `keys`, one of each band, and `sig`, the signature,
-    in place of `text`."""
+    """`docs` with `size`, the number of distinct shingles, `keys`, one of each band, `sig`, the signature, and
+    `sketch`, the odd sketch, in place of `text`."""
     others = [c for c in docs.columns if c != "text"]
-    schema = docs.select(*others).schema.add("size", "long").add("keys", ArrayType(LongType())).add("sig", "binary")
+    schema = docs.select(*others).schema.add("size", "long").add("keys", ArrayType(LongType()))
+    schema = schema.add("sig", "binary").add("sketch", "binary")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys, signs = np.empty(batch.num_rows, np.int64), np.empty((batch.num_rows, BANDS), np.int64), []
+            sizes, keys = np.empty(batch.num_rows, np.int64), np.empty((batch.num_rows, BANDS), np.int64)
+            signs, sketches = [], []
             for i, text in enumerate(batch.column("text")):
                 hashes = shingles(text.as_py())
                 sizes[i] = len(hashes)
                 keys[i], sign = band_keys(hashes)
                 signs.append(sign.tobytes())
+                sketches.append(odd_sketch(hashes).tobytes())
             lists = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, BANDS, dtype=np.int32), keys.ravel())
-            columns = [batch.column(c) for c in others]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(sizes), lists, pa.array(signs, pa.binary())],
-                                             names=[*others, "size", "keys", "sig"])
+            columns = [*(batch.column(c) for c in others), pa.array(sizes), lists]
+            columns += [pa.array(signs, pa.binary()), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*others, "size", "keys", "sig", "sketch"])
 
     return small_batches(docs).mapInArrow(run, schema)
 
@@ -121,50 +157,80 @@ def verified(pairs: DataFrame, rows: DataFrame, placed: DataFrame) -> DataFrame:
     return written_table(both.filter(near).select("a", "b"), "near")
 
 
-def _crossing(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Agreeing pairs of different roots in each group, from rows sorted by group and root. A group is a chunk of a
-    bucket (lo = hi) or two chunks, of which the pairs between them are taken; no more than one is held."""
+def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[list]:
+    """The columns of each group in parts, from rows sorted by group and root. A group is a chunk of a bucket (lo = hi)
+    or two chunks, of which the pairs between them are taken; no more than one is held."""
     held, group = [], None
-
-    def pairs(parts):
-        root, ids, size, own, apart = (np.concatenate(c) for c in list(zip(*parts))[:5])
-        signs = np.concatenate([p[5] for p in parts])
-        ahead = np.searchsorted(root, root, side="right")  # the first row of the next root
-        counts = len(root) - ahead
-        part, whole = SIMILARITY
-        at = 0
-        while at < len(root):
-            end = max(at + 1, int(np.searchsorted(np.cumsum(counts[at:]), PAIR_CHUNK, side="right")) + at)
-            n = counts[at:end]
-            i = np.repeat(np.arange(at, end), n)
-            j = np.repeat(ahead[at:end], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            fit = (whole * np.minimum(size[i], size[j]) >= part * np.maximum(size[i], size[j])) & (~apart[i] | (own[i] != own[j]))
-            i, j = i[fit], j[fit]
-            alike = (signs[i] == signs[j]).sum(axis=1) >= AGREE
-            a, b = ids[i[alike]], ids[j[alike]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-            at = end
-
     for batch in batches:
         if not batch.num_rows:
             continue
         keys = np.stack([batch.column(c).to_numpy() for c in ("band", "key", "lo", "hi")])
         columns = [batch.column(c).to_numpy() for c in ("root", "id", "size", "own")]
-        columns += [keys[2] < keys[3], _signs(batch.column("sig"))]
+        columns += [keys[2] < keys[3], _signs(batch.column("sig")), batch.column("sketch").to_pylist()]
         starts = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
         for start, end in zip(starts, np.r_[starts[1:], batch.num_rows]):
             this = tuple(keys[:, start])
             if this != group and held:
-                yield from pairs(held)
+                yield held
                 held = []
             group = this
             held.append([c[start:end] for c in columns])
     if held:
-        yield from pairs(held)
+        yield held
+
+
+def _possible(group: list) -> Iterator[tuple[np.ndarray, ...]]:
+    """(root, root, id, id, share apart) of the agreeing pairs of different roots whose sketches let them be near."""
+    root, ids, size, own, apart = (np.concatenate(c) for c in list(zip(*group))[:5])
+    signs, sketches = np.concatenate([p[5] for p in group]), [s for p in group for s in p[6]]
+    ahead = np.searchsorted(root, root, side="right")  # the first row of the next root
+    counts = len(root) - ahead
+    part, whole = SIMILARITY
+    at = 0
+    while at < len(root):
+        end = max(at + 1, int(np.searchsorted(np.cumsum(counts[at:]), PAIR_CHUNK, side="right")) + at)
+        n = counts[at:end]
+        i = np.repeat(np.arange(at, end), n)
+        j = np.repeat(ahead[at:end], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        fit = (whole * np.minimum(size[i], size[j]) >= part * np.maximum(size[i], size[j])) & (~apart[i] | (own[i] != own[j]))
+        i, j = i[fit], j[fit]
+        alike = (signs[i] == signs[j]).sum(axis=1) >= AGREE
+        i, j = i[alike], j[alike]
+        bits, both = bits_apart(sketches, i, j), size[i] + size[j]
+        near = (whole + part) * bits <= (whole - part) * both
+        i, j = i[near], j[near]
+        yield root[i], root[j], ids[i], ids[j], bits[near] / both[near]
+        at = end
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
+def _joining(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the pairs of `_crossing` a spanning forest of each group's roots, of the pairs that look nearest: fewer
+    than the group has rows."""
+    for group in _groups(batches):
+        held = [np.empty(0, np.int64)] * 4 + [np.empty(0)]
+        for found in _possible(group):
+            held = [np.concatenate(c) for c in zip(held, found)]
+            order = np.argsort(held[4], kind="stable")
+            held = [c[order] for c in held]
+            roots, place = np.unique(np.concatenate(held[:2]), return_inverse=True)
+            tree = spanning(len(roots), place[:len(order)], place[len(order):])
+            held = [c[tree] for c in held]
+        yield _pairs(held[2], held[3])
+
+
+def _crossing(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Agreeing pairs of different roots in each group whose sketches let them be near."""
+    for group in _groups(batches):
+        for _, _, a, b, _ in _possible(group):
+            yield _pairs(a, b)
 
 
 def near_links(rows: DataFrame, placed: DataFrame) -> DataFrame:
-    """(a, b): links that join all near copies among `rows` (id, FILE, ROW, size, keys, sig)."""
+    """(a, b): links that join all near copies among `rows` (id, FILE, ROW, size, keys, sig, sketch)."""
     keys = rows.select("id", "size", F.posexplode("keys").alias("band", "key"))
     hub = F.min_by(F.struct("id", "size"), F.xxhash64("id", F.col("band") % ORDERS)).alias("hub")
     hubs = keys.groupBy("band", "key").agg(hub, F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
@@ -173,24 +239,29 @@ def near_links(rows: DataFrame, placed: DataFrame) -> DataFrame:
     fit = whole * F.least("size", "hub.size") >= part * F.greatest("size", "hub.size")
     stars = shared.filter((F.col("id") != F.col("hub.id")) & fit).select(
         F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
-    stars = written_table(agreeing(stars, rows), "stars")
-    links = verified(stars, rows, placed)
-
-    joined = components(links, "a", "b").select(F.col("node").alias("id"), "component")
-    named = shared.drop("hub").join(joined, "id", "left").withColumn("root", F.coalesce("component", "id"))
-    named = written_table(named.select("band", "key", "root", "id", "size"), "named")
-    mixed = named.groupBy("band", "key").agg(
-        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n")).filter("lo < hi")
-    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
-    left = named.join(mixed.select("band", "key", chunks.alias("chunks")), ["band", "key"]).join(rows.select("id", "sig"), "id")
-    own = left.withColumn("own", F.pmod(F.xxhash64("id", "band"), F.col("chunks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
-    dealt = own.select("band", "key", "root", "id", "size", "own", "sig", other).withColumns(
-        {"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).drop("other")
-    group = ["band", "key", "lo", "hi"]
-    dealt = dealt.repartition(*group).sortWithinPartitions(*group, "root", "id")
-    rest = dealt.mapInArrow(_crossing, "a long, b long").distinct().join(stars, ["a", "b"], "left_anti")
-    return links.unionByName(verified(written_table(rest, "rest"), rows, placed))
+    looked = written_table(agreeing(stars, rows), "stars")
+    links, buckets = verified(looked, rows, placed), shared
+
+    for take in (_joining, _crossing):
+        joined = components(links, "a", "b")  # a written table
+        named = buckets.select("band", "key", "id", "size").join(joined.withColumnRenamed("node", "id"), "id", "left")
+        named = named.withColumn("root", F.coalesce("component", "id")).drop("component")
+        named = written_table(named, "named")
+        mixed = named.groupBy("band", "key").agg(
+            F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n")).filter("lo < hi")
+        chunks = F.ceil(F.col("n") / CHUNK).cast("int")
+        buckets = named.join(mixed.select("band", "key", chunks.alias("chunks")), ["band", "key"])
+        own = buckets.withColumn("own", F.pmod(F.xxhash64("id", "band"), F.col("chunks")).cast("int"))
+        other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
+        dealt = own.join(rows.select("id", "sig", "sketch"), "id").select("*", other).withColumns(
+            {"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).drop("other", "chunks")
+        group = ["band", "key", "lo", "hi"]
+        dealt = dealt.repartition(*group).sortWithinPartitions(*group, "root", "id")
+        found = dealt.mapInArrow(take, "a long, b long").distinct().join(looked, ["a", "b"], "left_anti")
+        found = written_table(found, "rest")
+        joined = joined.select(F.col("component").alias("a"), F.col("node").alias("b"))
+        links, looked = joined.unionByName(verified(found, rows, placed)), looked.unionByName(found)
+    return links
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
@@ -204,7 +275,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
     placed = located(docs)
     rows = banded(placed.select("doc_id", FILE, ROW, "text")).withColumn("id", F.monotonically_increasing_id())
     rows = written_table(rows, "bands")
-    joined = written_table(components(near_links(rows, placed), "a", "b"), "roots")
+    joined = components(near_links(rows, placed), "a", "b")
     roots = joined.select(F.col("node").alias("id"), "component").unionByName(
         joined.select(F.col("component").alias("id"), "component").distinct())
     named = rows.select("id", "doc_id", FILE, ROW).join(roots, "id")
